@@ -36,27 +36,50 @@ def is_blank(text: Column | str) -> Column:
     return strip(text) == ""
 
 
-def _first_contained(haystack: Column, words: Mapping[str, str], otherwise: str | None) -> Column:
-    """Value of the first word contained in ``haystack``, in mapping order."""
-    branches = None
-    for word, value in words.items():
-        test = haystack.contains(word)
-        branches = F.when(test, value) if branches is None else branches.when(test, value)
-    if branches is None:
-        return F.lit(otherwise).cast("string")
-    # NULL text has no answer; text without any word has the given one.
-    return branches.when(haystack.isNotNull(), F.lit(otherwise).cast("string"))
+def _hits(haystack: Column, words: Mapping[str, str]) -> Column:
+    """``array<struct<rank, word, value>>`` of the words contained in the text, in mapping order.
+
+    ``rank`` orders by length, longest first, then by mapping order. The words
+    are one constant array searched by a lambda: a chain of ``when`` branches
+    this long would outgrow what the JVM compiles. Wrapping the text in an
+    array binds it once for all words.
+    """
+    longest_first = {w: i for i, w in enumerate(sorted(words, key=len, reverse=True))}
+    table = F.array(
+        *[
+            F.struct(F.lit(longest_first[w]).alias("rank"), F.lit(w).alias("word"), F.lit(v).alias("value"))
+            for w, v in words.items()
+        ]
+    )
+
+    def search(text: Column) -> Column:
+        return F.filter(table, lambda entry: text.contains(entry["word"]))
+
+    return F.get(F.transform(F.array(haystack), search), F.lit(0))
+
+
+def _first_value(hits: Column) -> Column:
+    return F.get(hits, F.lit(0))["value"]
+
+
+def _longest_word(hits: Column) -> Column:
+    return F.array_min(F.transform(hits, lambda h: F.struct(h["rank"], h["word"])))["word"]
+
+
+def _lowered(text: Column, words: Mapping[str, str]) -> Column:
+    """Lower-cased text; words without upper and lower case need no lowering."""
+    return text if all(w.lower() == w.upper() for w in words) else F.lower(text)
 
 
 def rule_category(text: Column | str, rules: Mapping[str, str] = CATEGORY_RULES) -> Column:
     """Category of the first rule word found in the lower-cased text, else the default."""
-    return _first_contained(F.lower(_col(text)), rules, OTHER)
+    t = _col(text)
+    return F.when(t.isNotNull(), F.coalesce(_first_value(_hits(_lowered(t, rules), rules)), F.lit(OTHER)))
 
 
 def rule_word(text: Column | str, rules: Mapping[str, str] = CATEGORY_RULES) -> Column:
     """Longest rule word found in the raw text (ties: rule order), else NULL."""
-    longest_first = sorted(rules, key=len, reverse=True)
-    return _first_contained(_col(text), {w: w for w in longest_first}, None)
+    return _longest_word(_hits(_col(text), rules))
 
 
 def _first_long_word(text: Column, stop_words: Sequence[str]) -> Column:
@@ -84,8 +107,8 @@ def rule_keyword(text: Column | str, rules: Mapping[str, str] = CATEGORY_RULES)
 def simple_keyword(text: Column | str) -> Column:
     """First topic word in the text, else the first telling word, else the text's start."""
     t = _col(text)
-    topic = _first_contained(F.lower(t), {w: w for w in TOPIC_WORDS}, None)
-    return F.coalesce(topic, first_meaningful_word(t, SIMPLE_STOP_WORDS))
+    topics = {w: w for w in TOPIC_WORDS}
+    return F.coalesce(_first_value(_hits(_lowered(t, topics), topics)), first_meaningful_word(t, SIMPLE_STOP_WORDS))
 
 
 def clean_keyword(keyword: Column | str, text: Column | str, extracted: Column | None = None) -> Column:
@@ -140,8 +163,17 @@ def normalize_categories(categories: Column | str) -> Column:
 def fallback_classify(text: Column | str, rules: Mapping[str, str] = CATEGORY_RULES) -> Column:
     """``array<struct<keyword, categories>>`` from the word rules alone."""
     t = _col(text)
-    item = F.struct(rule_keyword(t, rules).alias("keyword"), F.array(rule_category(t, rules)).alias("categories"))
-    return F.when(t.isNotNull(), F.array(item))
+    lowered = _lowered(t, rules)
+
+    def item(hits: Column) -> Column:
+        # The category looks at the lowered text; where lowering is idle one search serves both.
+        category = _first_value(hits) if lowered is t else _first_value(_hits(lowered, rules))
+        return F.struct(
+            F.coalesce(_longest_word(hits), first_meaningful_word(t)).alias("keyword"),
+            F.array(F.coalesce(category, F.lit(OTHER))).alias("categories"),
+        )
+
+    return F.when(t.isNotNull(), F.transform(F.array(_hits(t, rules)), item))
 
 
 def ellipsis(text: Column | str, n: int = 100) -> Column:

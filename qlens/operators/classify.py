@@ -84,17 +84,20 @@ def explode_classification(classified: DataFrame) -> DataFrame:
     """One row per question, keyword and category name.
 
     Blank keywords drop out; an over-long one gives way to the question, a
-    blank or default one to the question's simple keyword.
+    blank or default one to the question's simple keyword. The outer form of
+    explode keeps the optimizer from testing the classification itself, which
+    would move that work below the de-duplication, to every raw message.
     """
     carried = [c for c in classified.columns if c != "classification"]
     items = (
-        classified.select(*carried, F.explode("classification").alias("item"))
+        classified.select(*carried, F.explode_outer("classification").alias("item"))
         .select(*carried, strip("item.keyword").alias("keyword"), "item.categories")
         .filter(~is_blank("keyword"))
     )
-    return items.withColumn(
+    named = items.select(*carried, "keyword", F.explode_outer("categories").alias("category_name"))
+    return named.filter(F.col("category_name").isNotNull()).withColumn(
         "keyword", backfill_keyword(cap_by_question("keyword", "input_text"), "input_text")
-    ).select(*carried, "keyword", F.explode("categories").alias("category_name"))
+    )
 
 
 def to_facts(exploded: DataFrame, categories: DataFrame, batch_created_at: datetime | Column) -> DataFrame:

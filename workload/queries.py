@@ -149,7 +149,7 @@ def classify_summary(spark, d):
 
 @query
 def classify_summary_week(spark, d):
-    return summary.classify_summary(v.keywords(spark, d), v.categories(spark), WEEK)
+    return summary.classify_summary(v.keywords(spark, d, WEEK), v.categories(spark), WEEK)
 
 
 @query
@@ -394,8 +394,8 @@ def simple_keyword(spark, d):
 
 @query
 def fallback_classify(spark, d):
-    item = F.explode(text.fallback_classify("text")).alias("item")
-    return v.texts(spark, d).select("id", item).select(
+    item = F.explode_outer(text.fallback_classify("text")).alias("item")
+    return v.texts(spark, d).select("id", item).filter("item IS NOT NULL").select(
         "id", "item.keyword", F.explode("item.categories").alias("category_name")
     )
 
@@ -503,8 +503,8 @@ def validation_counts(spark, d):
 
 
 def _flat(classified: DataFrame, *cols: str) -> DataFrame:
-    items = classified.select(*cols, F.posexplode("classification").alias("item_pos", "item"))
-    return items.select(
+    items = classified.select(*cols, F.posexplode_outer("classification").alias("item_pos", "item"))
+    return items.filter("item IS NOT NULL").select(
         *cols, "item_pos", "item.keyword", F.posexplode("item.categories").alias("category_pos", "category_name")
     )
 
