@@ -26,17 +26,12 @@ def report_rows(
     Two aggregates, both combining map-side: the first leaves at most one row
     per category of a pair, so the second never meets a large group.
     """
-    date, name = day("created_at").alias("date"), F.col("category_name")
-    per_id = (
-        in_period(keywords, period)
-        .filter(F.col("query_text").isNotNull() & F.col("created_at").isNotNull())
-        .groupBy(date, "query_text", "category_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*FACT_ORDER)).alias("f"))
-    )
+    name = F.col("category_name")
+    facts = in_period(keywords, period).filter(F.col("query_text").isNotNull() & F.col("created_at").isNotNull())
     per_name = (
-        with_category_name(per_id, categories)
-        .groupBy("date", "query_text", "category_name")
-        .agg(F.sum("n").alias("n"), F.min("f").alias("f"))
+        with_category_name(facts, categories)
+        .groupBy(day("created_at").alias("date"), "query_text", "category_name")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*FACT_ORDER)).alias("f"))
     )
     # Lowest rank wins: named real category, then unknown, then the default.
     rank = (
@@ -111,7 +106,8 @@ def report_top_keywords(rows: DataFrame, n: int = 10) -> DataFrame:
 def report_top_questions(rows: DataFrame, n: int = 10, keywords: int = 3) -> DataFrame:
     """Questions by the count of their first day, with their first distinct keywords.
 
-    The ``n`` questions are picked first; keywords are gathered for those only.
+    The ``n`` questions are picked first; keywords are gathered for those only,
+    so ``rows`` is read more than once and is best materialized before.
     """
     known = F.when(F.col("query_count").isNotNull(), F.col("date"))
     top = (
