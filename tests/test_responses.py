@@ -1,0 +1,80 @@
+import json
+
+from pyspark.sql import functions as F
+
+from qlens.functions.responses import parse_responses
+
+QUESTION = "성적 확인 방법을 알려주세요"
+FALLBACK = [("성적", ["평가(성적) 관련"])]
+
+
+def answer(arguments):
+    return json.dumps({"result": {"message": {"toolCalls": [{"function": {"arguments": arguments}}]}}}, ensure_ascii=False)
+
+
+def listed(*items):
+    return {"keywords_with_categories": list(items)}
+
+
+def item(keyword, categories=("입학 관련",)):
+    return {"keyword": keyword, "categories": list(categories) if isinstance(categories, tuple) else categories}
+
+
+OK = [("서류", ["입학 관련"])]
+CASES = [
+    # usable answers
+    (answer(listed(item(" (서류) "))), OK),
+    (answer(json.dumps(listed(item("서류")), ensure_ascii=False)), OK),
+    (answer(listed(item("서류", "정보공개"))), [("서류", ["정보공개"])]),
+    (answer(listed(item("서류", []))), [("서류", ["기타"])]),
+    (answer(listed(item("서류", 7))), [("서류", ["기타"])]),
+    (answer(listed(item("서류", None))), [("서류", ["기타"])]),
+    (answer(listed(item("서류", {"a": 1}))), [("서류", ["기타"])]),
+    (answer(listed({"keyword": "서류"})), [("서류", ["기타"])]),
+    (answer(listed(item("서류", [" 검정고시 ", "", None, 0, False, [], {}, "기타"]))), [("서류", ["검정고시", "기타"])]),
+    (answer(listed(item("123"), item("x"), item("!?a"))), [("기타", ["입학 관련"])] * 3),
+    (answer(listed(item(""), item("  ", [5]), "text", 3, None, item("서류"))), OK),
+    (answer(listed({"categories": ["기타"]}, item("서류"))), OK),
+    (answer(listed(item("가" * 120))), [("성적", ["입학 관련"])]),
+    # the whole question falls back to the word rules
+    (answer(listed(item(None), item("서류"))), FALLBACK),
+    (answer(listed(item(5), item("서류"))), FALLBACK),
+    (answer(listed(item("서류", ["기타", 5]))), FALLBACK),
+    (answer(listed(item("서류", [["기타"]]))), FALLBACK),
+    (answer(listed(item("서류", [True]))), FALLBACK),
+    (answer(listed(item("  "))), FALLBACK),
+    (answer(listed("text")), FALLBACK),
+    (answer(listed()), FALLBACK),
+    (answer({"keywords_with_categories": {"keyword": "서류"}}), FALLBACK),
+    (answer({"keywords_with_categories": "서류"}), FALLBACK),
+    (answer({"keywords_with_categories": None}), FALLBACK),
+    (answer({}), FALLBACK),
+    (answer([1]), FALLBACK),
+    (answer("{broken"), FALLBACK),
+    (answer('"text"'), FALLBACK),
+    (answer(None), FALLBACK),
+    ('{"result":{"message":{"toolCalls":[]}}}', FALLBACK),
+    ('{"result":{"message":{"toolCalls":null}}}', FALLBACK),
+    ('{"result":{"message":null}}', FALLBACK),
+    ('{"result":{"message":{"content":"x"}}}', FALLBACK),
+    ("[]", FALLBACK),
+    ("not json", FALLBACK),
+    ("", FALLBACK),
+    (None, FALLBACK),
+]
+
+
+def test_every_shape_of_answer(spark):
+    df = spark.createDataFrame(
+        [(i, QUESTION, r) for i, (r, _) in enumerate(CASES)], "id int, input_text string, response string"
+    )
+    got = {r.id: [(k.keyword, k["categories"]) for k in r.classification] for r in parse_responses(df).collect()}
+    # The over-long keyword gives way to the question's first telling word.
+    wrong = {i: (CASES[i][0], got[i], want) for i, (_, want) in enumerate(CASES) if got[i] != want}
+    assert not wrong
+
+
+def test_null_question_has_no_classification(spark):
+    df = spark.createDataFrame([(None, CASES[0][0])], "input_text string, response string")
+    assert parse_responses(df).first().classification is None
+    assert parse_responses(df).filter(F.col("classification").isNull()).count() == 1
