@@ -1,0 +1,107 @@
+from datetime import date, datetime
+
+import pandas as pd
+import pytest
+
+from qlens.functions.fixed_values import SHEET_TITLES
+from qlens.operators import report
+from qlens.period import Period
+from qlens.sources.sinks import write_report
+
+JUNE = Period("2025-06-11", "2025-06-19")
+D1, D2 = date(2025, 6, 11), date(2025, 6, 12)
+
+
+@pytest.fixture(scope="module")
+def facts(make_keywords):
+    return make_keywords(
+        # most frequent real category, default does not count
+        ("a", "k1", 3, 1, "2025-06-11"),
+        ("a", "k2", 3, 2, "2025-06-11"),
+        ("a", "k0", 2, 9, "2025-06-11"),
+        ("a", "kd", 11, 9, "2025-06-11"),
+        ("a", "kd", 11, 9, "2025-06-11"),
+        ("a", "kd", 11, 9, "2025-06-11"),
+        # tie: lowest name
+        ("b", "입", 6, 4, "2025-06-11"),
+        ("b", "검", 7, 5, "2025-06-11"),
+        # only default
+        ("c", "z", 11, 6, "2025-06-11"),
+        ("c", "y", 11, 7, "2025-06-11"),
+        # only unknown ids, with and without default
+        ("d", "u", None, 1, "2025-06-11"),
+        ("d", "v", 99, 2, "2025-06-11"),
+        ("d", "w", 11, 3, "2025-06-11"),
+        # unknown ids do not vote
+        ("e", "u", None, 1, "2025-06-11"),
+        ("e", "u", None, 1, "2025-06-11"),
+        ("e", "x", 1, 8, "2025-06-11"),
+        # another day
+        ("a", "k3", 1, 3, "2025-06-12"),
+        (None, "k", 1, 1, "2025-06-11"),
+        ("out", "k", 1, 1, "2025-06-20"),
+    )
+
+
+def test_report_rows(facts, categories):
+    got = {(r.date, r.query_text): (r.category_name, r.keyword, r.query_count) for r in report.report_rows(facts, categories, JUNE).collect()}
+    assert got == {
+        (D1, "a"): ("학생 생활", "k1", 1),
+        (D1, "b"): ("검정고시", "검", 5),
+        (D1, "c"): ("기타", "y", 7),
+        (D1, "d"): (None, "u", 1),
+        (D1, "e"): ("학교폭력", "x", 8),
+        (D2, "a"): ("학교폭력", "k3", 3),
+    }
+
+
+def test_statistics_agree_with_pandas(facts, categories):
+    built = report.report_rows(facts, categories, JUNE)
+    pdf = built.toPandas().sort_values(["date", "query_text"])
+
+    by_cat = pdf.groupby("category_name").agg(n=("query_text", "count"), s=("query_count", "sum"), u=("keyword", "nunique"))
+    assert {(r[0], r[1], r[2], r[3]) for r in report.report_by_category(built).collect()} == {
+        (c, r.n, r.s, r.u) for c, r in by_cat.iterrows()
+    }
+    by_day = pdf.groupby("date").agg(n=("query_text", "count"), q=("query_text", "nunique"), s=("query_count", "sum"), u=("keyword", "nunique"))
+    assert [tuple(r) for r in report.report_by_day(built).collect()] == [(d, r.n, r.q, r.s, r.u) for d, r in by_day.iterrows()]
+    top = pdf.groupby("keyword").agg(n=("query_text", "count"), s=("query_count", "sum"))
+    assert {tuple(r) for r in report.report_top_keywords(built).collect()} == {(k, r.n, r.s) for k, r in top.iterrows()}
+    overview = report.report_overview(built, JUNE).first()
+    assert tuple(overview) == ("2025-06-11 ~ 2025-06-19", 6, 5, 6, 25)
+
+
+def test_top_questions_take_the_first_day_and_three_keywords(spark):
+    names = ["k2", "k1", "k2", "k3", "k4"]
+    rows_ = [(date(2025, 6, 11 + i), "hot", "c", 10 - i, k, datetime(2025, 6, 11 + i)) for i, k in enumerate(names)]
+    rows_ += [(D1, f"q{i:02}", "c", i, None if i == 9 else "k", datetime(2025, 6, 11)) for i in range(14)]
+    df = spark.createDataFrame(rows_, "date date, query_text string, category_name string, query_count bigint, keyword string, created_at timestamp_ntz")
+    got = [tuple(r) for r in report.report_top_questions(df).collect()]
+    assert got[:4] == [("q13", 13, "k"), ("q12", 12, "k"), ("q11", 11, "k"), ("hot", 10, "k2, k1, k3")]
+    assert got[5] == ("q09", 9, "") and len(got) == 10
+    assert len(report.report_top_keywords(df, n=2).collect()) == 2
+
+
+def test_placeholder_only_for_an_empty_period(facts, categories):
+    full = report.main_sheet_or_placeholder(report.report_rows(facts, categories, JUNE), JUNE)
+    assert full.count() == 6
+    later = Period("2030-01-01", "2030-01-02")
+    empty = report.main_sheet_or_placeholder(report.report_rows(facts, categories, later), later)
+    assert [tuple(r) for r in empty.collect()] == [("데이터 없음", "", "", 0, datetime(2030, 1, 1))]
+
+
+def test_six_sheets_are_written_with_their_titles(spark, facts, categories, tmp_path):
+    sheets = report.report_sheets(report.report_rows(facts, categories, JUNE), JUNE)
+    assert list(sheets) == [title for title, _ in SHEET_TITLES.values()]
+    folders = write_report(sheets, str(tmp_path / "csv"))
+    for name, columns in SHEET_TITLES.values():
+        back = spark.read.option("header", True).csv(folders[name])
+        assert back.columns == columns and back.count() > 0
+    folders = write_report(sheets, str(tmp_path / "parquet"), "parquet")
+    assert dict(map(tuple, spark.read.parquet(folders["요약정보"]).collect()))["총 레코드 수"] == "6"
+
+
+def test_long_questions_are_cut_in_the_sheet_only(spark):
+    df = spark.createDataFrame([("가" * 150, 1, "k")], "query_text string, query_count bigint, keywords string")
+    assert report.top_questions_sheet(df).first()[0] == "가" * 100 + "..."
+    assert pd.DataFrame(df.collect())[0].str.len().max() == 150

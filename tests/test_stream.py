@@ -1,0 +1,71 @@
+from datetime import datetime
+
+import pytest
+from conftest import rows
+
+from qlens.operators.classify import classify_questions
+from qlens.operators.questions import unique_questions_per_day
+from qlens.period import Period
+from qlens.streaming.incremental import classify_stream, stored_facts, write_work
+from workload import views
+
+LOADED = datetime(2024, 2, 3, 1)
+SF = "/root/testdata/sf0.001"
+FACTS = ["query_text", "keyword", "category_id", "query_count", "created_at"]
+
+
+@pytest.fixture(scope="module")
+def questions(spark):
+    return unique_questions_per_day(views.chats(spark, SF), Period("2024-01-01", "2024-01-10"))
+
+
+def run(spark, tmp_path, categories, name="first", checkpoint="cp", **kw):
+    q = classify_stream(
+        spark, str(tmp_path / "work"), str(tmp_path / "sink"), str(tmp_path / checkpoint), categories, name, LOADED, **kw
+    )
+    q.awaitTermination()
+    assert q.exception() is None
+    return q
+
+
+def test_stream_equals_batch_and_reruns_add_nothing(spark, questions, categories, tmp_path):
+    write_work(questions.repartition(3), str(tmp_path / "work"), rows_per_file=40)
+    assert stored_facts(spark, str(tmp_path / "sink")).count() == 0
+    first = run(spark, tmp_path, categories, files_per_step=2)
+    assert first.lastProgress["batchId"] > 1  # several bounded steps
+    batch = rows(classify_questions(questions, categories, LOADED).select(FACTS))
+    assert rows(stored_facts(spark, str(tmp_path / "sink")).select(FACTS)) == batch
+    # The same checkpoint has nothing left to do.
+    run(spark, tmp_path, categories)
+    assert rows(stored_facts(spark, str(tmp_path / "sink")).select(FACTS)) == batch
+    # A second run over the same work finds every pair stored.
+    run(spark, tmp_path, categories, name="second", checkpoint="cp2")
+    assert rows(stored_facts(spark, str(tmp_path / "sink")).select(FACTS)) == batch
+
+
+def test_new_work_is_picked_up_after_a_restart(spark, questions, categories, tmp_path):
+    asked = questions.orderBy("created_at", "input_text").limit(60)
+    write_work(asked.filter("created_at < '2024-01-02'"), str(tmp_path / "work"))
+    run(spark, tmp_path, categories)
+    write_work(asked.filter("created_at >= '2024-01-02'"), str(tmp_path / "work"))
+    run(spark, tmp_path, categories)
+    batch = rows(classify_questions(asked, categories, LOADED).select(FACTS))
+    assert rows(stored_facts(spark, str(tmp_path / "sink")).select(FACTS)) == batch
+
+
+def test_a_step_repeated_after_a_failure_replaces_its_own_rows(spark, questions, categories, tmp_path):
+    asked = questions.orderBy("created_at", "input_text").limit(30)
+    write_work(asked, str(tmp_path / "work"))
+    run(spark, tmp_path, categories)
+    before = rows(stored_facts(spark, str(tmp_path / "sink")))
+    # The sink was written, the checkpoint was lost: step 0 runs again under the same name.
+    run(spark, tmp_path, categories, checkpoint="lost")
+    assert rows(stored_facts(spark, str(tmp_path / "sink"))) == before
+
+
+def test_rows_that_cannot_be_stored_are_kept_apart(spark, categories, tmp_path):
+    work = spark.createDataFrame([("전학", None, datetime(2024, 1, 1)), ("졸업", 2, datetime(2024, 1, 1))], "input_text string, total_count bigint, created_at timestamp_ntz")
+    write_work(work, str(tmp_path / "work"))
+    run(spark, tmp_path, categories, rejects=str(tmp_path / "rejects"))
+    assert rows(stored_facts(spark, str(tmp_path / "sink")).select("query_text")) == [("졸업",)]
+    assert rows(spark.read.parquet(str(tmp_path / "rejects")).select("query_text", "reject_reason")) == [("전학", "query_count is null")]

@@ -405,7 +405,7 @@ UNION ALL SELECT r, 'last-month', CAST(make_date(year(r), month(r), 1) - INTERVA
     "day_spine": with_(EV, CHATS)
     + """SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
 FROM (SELECT MIN(CAST(created_at AS DATE)) AS lo, MAX(CAST(created_at AS DATE)) AS hi FROM chattings)""",
-    "keywords_loaded_on": with_(EV, KW)
+    "loaded_on": with_(EV, KW)
     + "SELECT * FROM admin_chat_keywords WHERE CAST(batch_created_at AS DATE) = DATE '2024-02-02'",
     "classified_rows": with_(EV, KW, CATS)
     + f"""SELECT t.category_name, c.query_text, c.keyword, c.created_at, c.query_count
@@ -576,7 +576,7 @@ FROM (SELECT COUNT(*) AS days, CAST(SUM(total_rows) AS BIGINT) AS total_rows, CA
         CAST(SUM(skipped) AS BIGINT) AS skipped_count,
         COALESCE(string_agg(CAST(date AS VARCHAR), ', ' ORDER BY date) FILTER (status = 'FAILED'), '') AS failed_dates
       FROM ledger)""",
-    "complete_run_summary": with_(EV, CHATS, KW, CATS, RULED, FACTS, COMPLETE)
+    "complete_run": with_(EV, CHATS, KW, CATS, RULED, FACTS, COMPLETE)
     + """SELECT *, basic_rows + missing_rows AS total_rows_written, remaining_missing = 0 AS verification_success FROM c""",
     "reject_split": with_(EV, KW)
     + """SELECT *, CASE WHEN query_text IS NULL THEN 'query_text is null' WHEN keyword IS NULL THEN 'keyword is null'
@@ -632,7 +632,7 @@ UNION ALL SELECT 'question', COUNT(*), COUNT(*) FILTER (COALESCE({strip('questio
 UNION ALL SELECT 'count', COUNT(*), COUNT(*) FILTER (k <= 0), 'events' FROM labelled
 UNION ALL SELECT 'names', COUNT(*), COUNT(*) FILTER (event_type IS NULL OR question IS NULL), 'events' FROM labelled
 UNION ALL SELECT 'structure', COUNT(*), COUNT(*) FILTER (NOT good), 'events' FROM labelled""",
-    "parsed_responses": RESP + "SELECT * FROM parsed",
+    "parse_responses": RESP + "SELECT * FROM parsed",
     "explode_classification": RESP + "SELECT chatting_pk, input_text, created_at, total_count, keyword, category_name FROM exploded",
     "category_resolve": with_(EV, CATS, PARSED, RESOLVED) + "SELECT * FROM resolved",
     "category_distribution": with_(EV, CATS, PARSED, RESOLVED)

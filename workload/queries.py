@@ -24,7 +24,8 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
+    """Registers a query under its function's name, without a trailing underscore."""
+    REGISTRY[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -57,7 +58,7 @@ def day_spine(spark, d):
 
 
 @query
-def keywords_loaded_on(spark, d):
+def loaded_on_(spark, d):
     return loaded_on(v.keywords(spark, d), SECOND_LOAD)
 
 
@@ -355,7 +356,7 @@ def run_totals(spark, d):
 
 
 @query
-def complete_run_summary(spark, d):
+def complete_run_(spark, d):
     return complete_run(v.chats(spark, d), v.keywords(spark, d), v.categories(spark), PERIOD, LOADED)
 
 
@@ -511,7 +512,7 @@ def _flat(classified: DataFrame, *cols: str) -> DataFrame:
 
 
 @query
-def parsed_responses(spark, d):
+def parse_responses_(spark, d):
     return _flat(parse_responses(v.responses(spark, d)), "chatting_pk")
 
 
