@@ -23,6 +23,7 @@ from qlens.functions.text import (
     truncate_keyword,
 )
 from qlens.operators.lookup import resolve_category_ids
+from qlens.period import timestamp
 
 Classifier = Callable[[str], Any]
 
@@ -102,7 +103,7 @@ def explode_classification(classified: DataFrame) -> DataFrame:
 
 def to_facts(exploded: DataFrame, categories: DataFrame, batch_created_at: datetime | Column) -> DataFrame:
     """Fact rows (plus the category name) from exploded classifications."""
-    loaded = batch_created_at if isinstance(batch_created_at, Column) else F.lit(batch_created_at)
+    loaded = batch_created_at if isinstance(batch_created_at, Column) else timestamp(batch_created_at)
     return resolve_category_ids(exploded, categories).select(
         F.col("input_text").alias("query_text"),
         truncate_keyword("keyword").alias("keyword"),
@@ -129,7 +130,7 @@ def classify_questions(
 
 def skipped_questions(questions: DataFrame, facts: DataFrame) -> DataFrame:
     """Questions of a day that produced no row."""
-    done = facts.select(F.col("query_text").alias("_text"), F.to_date("created_at").alias("_day")).distinct()
+    done = facts.select(F.to_date("created_at").alias("_day"), F.col("query_text").alias("_text")).distinct()
     return questions.join(
         done, (F.col("input_text") == F.col("_text")) & (F.to_date("created_at") == F.col("_day")), "left_anti"
     )

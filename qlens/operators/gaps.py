@@ -17,7 +17,6 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qlens.config import DEFAULTS, Settings
 from qlens.operators.summary import classify_summary
 from qlens.period import Period, data_day_spine, day, day_spine, in_period, loaded_on, loaded_since
 
@@ -34,16 +33,19 @@ def asked_pairs(chats: DataFrame, period: Period | None = None) -> DataFrame:
 
 
 def classified_pairs(keywords: DataFrame, period: Period | None, mode: str) -> DataFrame:
-    """What counts as classified under ``mode``: (text, day) pairs, or texts for ``ever``."""
-    facts = in_period(keywords, period)
+    """What counts as classified under ``mode``: (day, text) pairs, or texts for ``ever``.
+
+    NULL questions match nothing and are left out. The day comes first, like in
+    ``asked_pairs``, so that both sides are partitioned alike for the join.
+    """
+    facts = in_period(keywords, period).filter(F.col("query_text").isNotNull() & F.col("created_at").isNotNull())
+    text, known_day = F.col("query_text").alias("_text"), day("created_at").alias("_day")
     if mode == "first_day":
-        return facts.groupBy(F.col("query_text").alias("_text")).agg(
-            day(F.min("created_at")).alias("_day")
-        )
+        return facts.groupBy(text).agg(day(F.min("created_at")).alias("_day"))
     if mode == "per_day":
-        return facts.select(F.col("query_text").alias("_text"), day("created_at").alias("_day")).distinct()
+        return facts.select(known_day, text).filter(F.col("_day").isNotNull()).distinct()
     if mode == "ever":
-        return facts.select(F.col("query_text").alias("_text")).distinct()
+        return facts.select(text).distinct()
     raise ValueError(f"mode must be one of {MODES}")
 
 
@@ -150,8 +152,9 @@ def union_classified(
     keywords: DataFrame, categories: DataFrame, period: Period | None, since: date | str
 ) -> DataFrame:
     """(question, day) from the classification summary together with rows loaded since a day."""
-    summary = classify_summary(keywords, categories, period).select("query_text", day("created_at").alias("dt"))
-    loaded = loaded_since(keywords, since).select("query_text", day("created_at").alias("dt"))
+    pair = (day("created_at").alias("dt"), F.col("query_text"))
+    summary = classify_summary(keywords, categories, period).select(*pair)
+    loaded = loaded_since(keywords, since).select(*pair)
     return summary.union(loaded).distinct()
 
 
@@ -160,7 +163,7 @@ def final_missing_union(
 ) -> DataFrame:
     """``final_missing`` against summary and loaded rows together."""
     pairs = union_classified(keywords, categories, period, since).select(
-        F.col("query_text").alias("_text"), F.col("dt").alias("_day")
+        F.col("dt").alias("_day"), F.col("query_text").alias("_text")
     )
     return without(asked_pairs(chats, period), pairs).agg(
         F.count_distinct("input_text").alias("final_missing_count")
@@ -174,17 +177,15 @@ def _spine(chats: DataFrame, period: Period | None) -> DataFrame:
 def coverage_by_day(chats: DataFrame, keywords: DataFrame, period: Period | None = None) -> DataFrame:
     """Per day of the period: questions, messages, questions first processed, questions missing.
 
-    Messages are read once: each (day, question) row carries a flag telling
-    whether the question was ever classified.
+    Messages and facts are read once: each (day, question) row carries the
+    question's first classified day, if any, and the same first days are counted.
     """
-    first_days = classified_pairs(keywords, period, "first_day").filter(F.col("_text").isNotNull())
-    asked = asked_pairs(chats, period).join(
-        first_days.select("_text", F.lit(True).alias("_known")), F.col("input_text") == F.col("_text"), "left"
-    )
+    first_days = classified_pairs(keywords, period, "first_day")
+    asked = asked_pairs(chats, period).join(first_days, F.col("input_text") == F.col("_text"), "left")
     per_day = asked.groupBy(F.col("missing_date").alias("date")).agg(
         F.count("input_text").alias("unique_questions"),
         F.sum("missing_count").alias("total_messages"),
-        F.count_if(F.col("_known").isNull()).alias("missing_questions"),
+        F.count_if(F.col("_day").isNull()).alias("missing_questions"),
     )
     processed = first_days.groupBy(F.col("_day").alias("date")).agg(
         F.count(F.lit(1)).alias("processed_questions")

@@ -93,7 +93,7 @@ def skip_existing(questions: DataFrame, keywords: DataFrame, period: Period | No
     """Unique questions of a day without a classified row on that day."""
     done = (
         in_period(keywords, period)
-        .select(F.col("query_text").alias("_text"), day("created_at").alias("_day"))
+        .select(day("created_at").alias("_day"), F.col("query_text").alias("_text"))
         .distinct()
     )
     return questions.join(

@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 SHORTCUTS = ("today", "yesterday", "this-week", "last-week", "this-month", "last-month")
 
 
+def timestamp(value: datetime) -> Column:
+    """A constant without time zone; written as text, so no session or driver zone touches it."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _as_date(value: date | str) -> date:
     if isinstance(value, datetime):
         return value.date()
@@ -71,12 +76,11 @@ class Period:
     def contains(self, col: Column | str) -> Column:
         """Range test on a raw timestamp column; reaches the scan as pushed filters."""
         c = F.col(col) if isinstance(col, str) else col
-        lo = F.lit(datetime.combine(self.start, time.min)).cast("timestamp_ntz")
+        lo = timestamp(datetime.combine(self.start, time.min))
         if self.exclusive_end:
             hi = datetime.combine(self.end + timedelta(days=1), time.min)
-            return (c >= lo) & (c < F.lit(hi).cast("timestamp_ntz"))
-        hi = datetime.combine(self.end, time(23, 59, 59))
-        return c.between(lo, F.lit(hi).cast("timestamp_ntz"))
+            return (c >= lo) & (c < timestamp(hi))
+        return c.between(lo, timestamp(datetime.combine(self.end, time(23, 59, 59))))
 
 
 def in_period(df: DataFrame, period: Period | None, col: str = "created_at") -> DataFrame:
@@ -97,16 +101,13 @@ def day(col: Column | str) -> Column:
 
 def loaded_since(df: DataFrame, since: date | str, col: str = "batch_created_at") -> DataFrame:
     """Rows loaded on or after a day, as a plain timestamp comparison that pushes down."""
-    return df.filter(F.col(col) >= F.lit(datetime.combine(_as_date(since), time.min)).cast("timestamp_ntz"))
+    return df.filter(F.col(col) >= timestamp(datetime.combine(_as_date(since), time.min)))
 
 
 def loaded_on(df: DataFrame, on: date | str, col: str = "batch_created_at") -> DataFrame:
     """Rows loaded on one day, as a half-open timestamp range."""
     lo = datetime.combine(_as_date(on), time.min)
-    return df.filter(
-        (F.col(col) >= F.lit(lo).cast("timestamp_ntz"))
-        & (F.col(col) < F.lit(lo + timedelta(days=1)).cast("timestamp_ntz"))
-    )
+    return df.filter((F.col(col) >= timestamp(lo)) & (F.col(col) < timestamp(lo + timedelta(days=1))))
 
 
 def day_spine(spark: SparkSession, period: Period) -> DataFrame:

@@ -104,3 +104,26 @@ def test_load_verdict(tables):
     done = chats.filter("input_text = 'both days'")
     assert gaps.load_verdict(done, kw, JUNE, "2025-06-21").first().verdict == "loaded"
     assert gaps.load_verdict(done, kw, JUNE, "2025-06-25").first().verdict == "nothing_loaded"
+
+
+def test_join_sides_are_partitioned_alike(spark, tables):
+    """One exchange per side: the de-duplication's partitioning serves the join."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        work = gaps.missing_work(*tables, JUNE, "per_day")
+        plan = work._sc._jvm.PythonSQLUtils.explainString(work._jdf.queryExecution(), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Exchange hashpartitioning") == 2 and "LeftAnti" in plan
+
+
+def test_hot_question_is_one_row_per_day_before_the_join(spark, tables):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        work = gaps.missing_work(*tables, JUNE, "ever")
+        plan = work._sc._jvm.PythonSQLUtils.explainString(work._jdf.queryExecution(), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.index("LeftAnti") < plan.index("partial_count")

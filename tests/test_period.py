@@ -84,3 +84,15 @@ def test_period_filter_reaches_the_scan(spark, make_chats, tmp_path):
     plan = in_period(spark.read.parquet(path), Period("2025-06-19", "2025-06-19")).select(F.count("*"))
     text = plan._sc._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "formatted")
     assert "GreaterThanOrEqual(created_at" in text and "LessThanOrEqual(created_at" in text
+
+
+def test_no_time_zone_moves_the_bounds(spark, make_chats):
+    chats = make_chats(("a", "2025-06-18T23:59:59"), ("b", "2025-06-19T00:00:00"), ("c", "2025-06-19T23:59:59"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("Asia/Seoul", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            got = in_period(chats, Period("2025-06-19", "2025-06-19")).select("input_text").collect()
+            assert [r[0] for r in got] == ["b", "c"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
