@@ -68,9 +68,9 @@ def _sum_counts() -> Column:
 
 
 def report_by_category(rows: DataFrame) -> DataFrame:
+    """Per category, unknown ones together as NULL, most rows first."""
     return (
-        rows.filter(F.col("category_name").isNotNull())
-        .groupBy("category_name")
+        rows.groupBy("category_name")
         .agg(
             F.count("query_text").alias("record_count"),
             _sum_counts(),

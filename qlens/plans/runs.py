@@ -26,7 +26,7 @@ from qlens.operators.report import report_rows, report_sheets
 from qlens.period import Period
 from qlens.sources.sinks import append_keywords, write_rejects, write_report
 from qlens.sources.tables import read_keywords
-from qlens.storage import stable
+from qlens.storage import kept
 
 
 def as_questions(work: DataFrame) -> DataFrame:
@@ -50,12 +50,12 @@ def complete_run(
 ) -> DataFrame:
     """Classify every question of the period, then find and repair gaps, then verify; one summary row.
 
-    Nothing is written to the fact table. Classified rows are kept in the
-    checkpoint folder, so the classifier runs once per step.
+    Nothing is written to the fact table. Questions and classified rows are kept
+    in the checkpoint folder, so the classifier runs once per step.
     """
     facts = keywords.select(*KEYWORDS)
-    questions = unique_questions_per_day(chats, period)
-    basic = stable(
+    questions = kept(unique_questions_per_day(chats, period))
+    basic = kept(
         classify_questions(questions, categories, batch_created_at, classifier, rules).select(*KEYWORDS)
     )
     facts = facts.unionByName(basic)
@@ -64,8 +64,8 @@ def complete_run(
     work = missing_work(chats, facts, period, "first_day", limit)
     if found == 0:
         work = work.limit(0)
-    todo = as_questions(work)
-    repaired = stable(
+    todo = kept(as_questions(work))
+    repaired = kept(
         classify_questions(todo, categories, batch_created_at, classifier, rules).select(*KEYWORDS)
     )
     facts = facts.unionByName(repaired)
@@ -141,17 +141,19 @@ class Workspace:
 
     def facts(self, period: Period | None = None) -> DataFrame:
         """The fact table; empty before the first run."""
+        columns = {self.cfg.physical(name): dtype for name, dtype in KEYWORDS.items()} | {"created_date": "date"}
+        schema = ", ".join(f"`{name}` {dtype}" for name, dtype in columns.items())
         try:
-            return read_keywords(self.spark, self.fact_path, self.cfg, period)
+            stored = self.spark.read.schema(schema).parquet(self.fact_path)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            schema = ", ".join(f"{name} {dtype}" for name, dtype in KEYWORDS.items())
-            return self.spark.createDataFrame([], schema)
+            stored = self.spark.createDataFrame([], schema)
+        return read_keywords(self.spark, stored, self.cfg, period)
 
     def _classify_and_append(self, questions: DataFrame, period: Period, loaded: datetime) -> RunResult:
-        questions = stable(questions)
-        facts = stable(
+        questions = kept(questions)
+        facts = kept(
             classify_questions(
                 questions, self.categories, loaded, self.classifier, self.rules, self.parallelism
             ).select(*KEYWORDS)
@@ -207,5 +209,5 @@ class Workspace:
 
     def report(self, period: Period, path: str, fmt: str = "csv") -> dict[str, str]:
         """The six report sheets of a period, one folder each."""
-        rows = stable(report_rows(self.facts(period), self.categories, period))
+        rows = kept(report_rows(self.facts(period), self.categories, period))
         return write_report(report_sheets(rows, period), path, fmt)

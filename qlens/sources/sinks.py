@@ -18,7 +18,7 @@ def append_keywords(
     mode: str = "append",
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
 ) -> None:
-    """Appends fact rows as parquet, one folder per day.
+    """Appends fact rows as parquet, one folder per day; ``overwrite`` replaces the whole path.
 
     Rows are rebalanced by day first: small days are put together into few
     files, a day too large for one task is split over several.
@@ -28,6 +28,7 @@ def append_keywords(
         out.hint("rebalance", "created_date")
         .write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
+        .option("partitionOverwriteMode", "static")
         .partitionBy("created_date")
         .parquet(path)
     )

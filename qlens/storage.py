@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,12 +28,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _local: dict[str, str | None] = {"dir": None}
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """The same rows in the same partitions however often they are read again.
+def kept(df: DataFrame) -> DataFrame:
+    """The same rows however often they are read again, as a parquet table.
 
-    Written to the shared checkpoint folder, so it outlives lost executors.
+    Written to the shared checkpoint folder, so the rows outlive lost executors
+    and later reads are pruned to the columns they use.
     """
     spark = df.sparkSession
+    path = join_path(checkpoint_dir(spark), f"kept-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def stable(df: DataFrame) -> DataFrame:
+    """Like ``kept``, for when the order of rows and partitions matters as well."""
+    spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
     return df.checkpoint(eager=True)

@@ -15,7 +15,7 @@ from qlens.functions.fixed_values import CATEGORY_RULES
 from qlens.operators.classify import Classifier, classify_questions, split_rejects
 from qlens.operators.questions import skip_existing
 from qlens.sources.sinks import append_keywords
-from qlens.storage import join_path, stable
+from qlens.storage import join_path, kept
 
 WORK_SCHEMA = "input_text string, total_count bigint, created_at date"
 
@@ -69,10 +69,8 @@ def classify_stream(
         if skip_done:
             own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
             questions = skip_existing(questions, stored_facts(session, sink).filter(~own))
-        facts = stable(
-            classify_questions(questions, categories, batch_created_at, classifier, rules).select(*KEYWORDS)
-        )
-        good, bad = split_rejects(facts)
+        facts = classify_questions(questions, categories, batch_created_at, classifier, rules).select(*KEYWORDS)
+        good, bad = split_rejects(kept(facts) if rejects else facts)
         folder = (f"run={run}", f"batch_id={batch_id}")
         append_keywords(good, join_path(sink, *folder), mode="overwrite")
         if rejects:

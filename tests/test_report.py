@@ -59,9 +59,9 @@ def test_statistics_agree_with_pandas(facts, categories):
     built = report.report_rows(facts, categories, JUNE)
     pdf = built.toPandas().sort_values(["date", "query_text"])
 
-    by_cat = pdf.groupby("category_name").agg(n=("query_text", "count"), s=("query_count", "sum"), u=("keyword", "nunique"))
+    by_cat = pdf.groupby("category_name", dropna=False).agg(n=("query_text", "count"), s=("query_count", "sum"), u=("keyword", "nunique"))
     assert {(r[0], r[1], r[2], r[3]) for r in report.report_by_category(built).collect()} == {
-        (c, r.n, r.s, r.u) for c, r in by_cat.iterrows()
+        (c if isinstance(c, str) else None, r.n, r.s, r.u) for c, r in by_cat.iterrows()
     }
     by_day = pdf.groupby("date").agg(n=("query_text", "count"), q=("query_text", "nunique"), s=("query_count", "sum"), u=("keyword", "nunique"))
     assert [tuple(r) for r in report.report_by_day(built).collect()] == [(d, r.n, r.q, r.s, r.u) for d, r in by_day.iterrows()]

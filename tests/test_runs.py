@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from conftest import rows
 
-from qlens import Period, Workspace, complete_run
+from qlens import Period, SchemaConfig, Workspace, complete_run
 
 P = Period("2025-06-11", "2025-06-12")
 LOADED = datetime(2025, 6, 20, 1)
@@ -45,6 +45,25 @@ def test_classify_check_repair_report(spark, chats, categories, tmp_path):
     assert len(folders) == 6
 
 
+def test_a_period_without_messages(spark, chats, categories, tmp_path):
+    ws = Workspace(spark, chats, categories, str(tmp_path / "facts"), str(tmp_path / "rejects"))
+    later = Period("2026-01-01", "2026-01-02")
+    assert tuple(ws.run_batch(later, LOADED).totals.first()) == (2, 0, 0, 0, "", "SUCCESS")
+    assert ws.facts().count() == 0
+    assert tuple(ws.check_missing(later)[1].first()) == (0, 0, 0, 0.0)
+    assert ws.repair(later) is None
+    folders = ws.report(later, str(tmp_path / "report"))
+    assert spark.read.option("header", True).csv(folders["채팅키워드분류"]).first()[0] == "데이터 없음"
+
+
+def test_physical_names_reach_the_fact_table(spark, chats, categories, tmp_path):
+    cfg = SchemaConfig(columns={"query_text": "content", "created_at": "day"})
+    ws = Workspace(spark, chats, categories, str(tmp_path / "facts"), cfg=cfg)
+    ws.run_batch(P, LOADED)
+    assert "content" in spark.read.parquet(str(tmp_path / "facts")).columns
+    assert ws.facts(P).count() == 3 and ws.check_missing(P)[1].first().total_missing_questions == 1
+
+
 def test_run_without_skipping_repeats_rows_like_a_plain_append(spark, chats, categories, tmp_path):
     ws = Workspace(spark, chats, categories, str(tmp_path / "facts"))
     for _ in range(2):

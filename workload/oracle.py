@@ -526,7 +526,7 @@ UNION ALL SELECT '고유 키워드 수', CAST(unique_keywords AS VARCHAR) FROM o
 UNION ALL SELECT '총 질문 횟수', CAST(total_query_count AS VARCHAR) FROM o""",
     "report_by_category": REPORT
     + """SELECT category_name, COUNT(query_text) AS record_count, CAST(SUM(query_count) AS BIGINT) AS total_queries,
-  COUNT(DISTINCT keyword) AS unique_keywords FROM report WHERE category_name IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1""",
+  COUNT(DISTINCT keyword) AS unique_keywords FROM report GROUP BY 1 ORDER BY 2 DESC, 1""",
     "report_by_day": REPORT
     + """SELECT date, COUNT(query_text) AS record_count, COUNT(DISTINCT query_text) AS unique_questions,
   CAST(SUM(query_count) AS BIGINT) AS total_queries, COUNT(DISTINCT keyword) AS unique_keywords FROM report GROUP BY 1 ORDER BY 1""",

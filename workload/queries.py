@@ -14,7 +14,7 @@ from qlens.operators import classify, gaps, ledger, lookup, questions, report, s
 from qlens.period import Period, data_day_spine, in_period, loaded_on, shortcut_table
 from qlens.plans.runs import complete_run
 from qlens.sources.logs import parse_log_lines
-from qlens.storage import stable
+from qlens.storage import kept
 from workload import views as v
 from workload.views import PERIOD, SECOND_LOAD, WEEK
 
@@ -289,7 +289,7 @@ def report_top_keywords(spark, d):
 
 @query
 def report_top_questions(spark, d):
-    return report.report_top_questions(stable(_rows(spark, d)))
+    return report.report_top_questions(kept(_rows(spark, d)))
 
 
 @query
@@ -297,7 +297,7 @@ def report_placeholder(spark, d):
     """Main sheets of a period with data and of one without, under plain column names."""
     empty = Period("2025-06-11", "2025-06-19")
     names = ("query_text", "keyword", "category_name", "query_count", "created_at")
-    full, none = (report.main_sheet_or_placeholder(stable(_rows(spark, d, p)), p).toDF(*names) for p in (PERIOD, empty))
+    full, none = (report.main_sheet_or_placeholder(kept(_rows(spark, d, p)), p).toDF(*names) for p in (PERIOD, empty))
     return full.withColumn("sheet", F.lit("full")).unionByName(none.withColumn("sheet", F.lit("empty")))
 
 
