@@ -28,26 +28,26 @@ from qlens.period import timestamp
 Classifier = Callable[[str], Any]
 
 
-def _as_response(answer: Any) -> str | None:
-    """A classifier's answer as response text; a bare list is wrapped like a tool call."""
-    if isinstance(answer, str):
-        return answer
-    if isinstance(answer, list):
-        call = {"function": {"arguments": {"keywords_with_categories": answer}}}
-        answer = {"result": {"message": {"toolCalls": [call]}}}
-    return json.dumps(answer, ensure_ascii=False)
-
-
 def ask_classifier(texts: DataFrame, classifier: Classifier, text: str = "input_text") -> DataFrame:
     """Adds ``response`` by calling ``classifier`` once per row, in Arrow batches.
 
     A failed call leaves NULL, which the parser turns into the word rules.
-    ``texts`` should hold distinct questions.
+    ``texts`` should hold distinct questions. The functions below are nested so
+    that they travel to the executors, where this package need not be installed.
     """
 
+    def as_response(answer: Any) -> str:
+        """Response text; a bare list is wrapped like a tool call."""
+        if isinstance(answer, str):
+            return answer
+        if isinstance(answer, list):
+            call = {"function": {"arguments": {"keywords_with_categories": answer}}}
+            answer = {"result": {"message": {"toolCalls": [call]}}}
+        return json.dumps(answer, ensure_ascii=False)
+
     def answer(question: str) -> str | None:
         try:
-            return _as_response(classifier(question))
+            return as_response(classifier(question))
         except Exception:  # any failure of a user's classifier means "no answer"
             return None
 

@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 from datetime import date, datetime
 
 import pytest
@@ -49,6 +52,27 @@ def test_own_classifier_sees_each_question_once_and_may_fail(spark, questions, c
     assert ("전학 절차를 알고 싶습니다", "전학", 11, DAY) in got
 
 
+def test_executors_need_no_package_to_call_a_classifier(tmp_path):
+    """A session started elsewhere, where this package is not on the Python path of the workers."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(c.__file__)))
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"""
+import sys
+sys.path.insert(0, {os.path.dirname(root)!r})
+from pyspark.sql import SparkSession
+from qlens.operators.classify import ask_classifier
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+df = spark.createDataFrame([("a",)], "input_text string")
+print("GOT", ask_classifier(df, lambda t: [{{"keyword": t, "categories": "b"}}]).first().response)
+""",
+        encoding="utf-8",
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert "GOT" in done.stdout and '"keyword": "a"' in done.stdout
+
+
 def test_classifier_may_return_a_raw_response(spark, questions, categories):
     raw = '{"result":{"message":{"toolCalls":[{"function":{"arguments":{"keywords_with_categories":[{"keyword":"서류","categories":["정보공개"]}]}}}]}}}'
     facts = c.classify_questions(questions.limit(1), categories, LOADED, lambda text: raw)

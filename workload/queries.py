@@ -546,14 +546,13 @@ def skipped_questions(spark, d):
     return classify.skipped_questions(asked, good)
 
 
-def sample_classifier(question: str):
-    """A caller's classifier: last word as keyword, no answer for one kind of question."""
-    if question.startswith("오류"):
-        raise RuntimeError("no answer")
-    return [{"keyword": question.split()[-2], "categories": ["학생 생활", "기타"]}]
-
-
 @query
 def classify_with_caller(spark, d):
+    def sample_classifier(question: str):
+        """A caller's classifier: last word but one as keyword, no answer for one kind of question."""
+        if question.startswith("오류"):
+            raise RuntimeError("no answer")
+        return [{"keyword": question.split()[-2], "categories": ["학생 생활", "기타"]}]
+
     asked = questions.unique_questions_per_day(v.chats(spark, d), PERIOD)
     return classify.classify_questions(asked, v.categories(spark), LOADED, sample_classifier)
