@@ -241,7 +241,7 @@ def backfill_keyword(k: str, t: str) -> str:
 
 
 CANDIDATES = f"""candidates AS (
-  SELECT id, text, kind, CASE kind WHEN 0 THEN text WHEN 1 THEN ' (' || {strip('text')}[1:12] || ')! '
+  SELECT id, text, kind, CASE kind WHEN 0 THEN text WHEN 1 THEN ' (' || {strip('text')} || ')! '
     WHEN 2 THEN CAST(length(text) AS VARCHAR) WHEN 3 THEN '기타' WHEN 4 THEN '  ' WHEN 5 THEN '.'
     WHEN 6 THEN text || text || text || text ELSE repeat('a', 150) END AS keyword
   FROM texts, (SELECT CAST(unnest(range(0, 8)) AS INT) AS kind))"""
@@ -603,7 +603,7 @@ FROM (SELECT c.*, w.word FROM candidates c JOIN (SELECT id, {telling_word('text'
     "backfill_keyword": CAND + f"SELECT id, kind, {backfill_keyword('keyword', 'text')} AS keyword FROM candidates",
     "normalize_categories": TX
     + f""", named AS (SELECT id, CASE WHEN text IS NULL THEN ['기타'] ELSE
-    list_filter(list_transform(string_split(split_part(text, chr(10), 1), ','), lambda n: {strip('n')}), lambda n: n <> '') END AS names FROM texts),
+    list_filter(list_transform(regexp_split_to_array(text, '[,\\n]'), lambda n: {strip('n')}), lambda n: n <> '') END AS names FROM texts),
 filled AS (SELECT id, CASE WHEN len(names) = 0 THEN ['기타'] ELSE names END AS names FROM named)
 SELECT id, CAST(generate_subscripts(names, 1) - 1 AS INT) AS pos, unnest(names) AS category_name FROM filled""",
     "normalize_day": with_(EV)

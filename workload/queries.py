@@ -429,8 +429,8 @@ def backfill_keyword(spark, d):
 
 @query
 def normalize_categories(spark, d):
-    """Words of every text's first line taken as a raw category list."""
-    raw = F.split(F.substring_index("text", "\n", 1), ",")
+    """The comma and line separated parts of every text taken as a raw category list."""
+    raw = F.split("text", "[,\n]")
     names = text.normalize_categories(F.when(F.col("text").isNotNull(), raw))
     return v.texts(spark, d).select("id", F.posexplode(names).alias("pos", "category_name"))
 

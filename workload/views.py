@@ -134,10 +134,9 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with a keyword of every awkward shape."""
     kind, t = F.col("kind"), F.col("text")
-    word = F.substring(strip("text"), 1, 12)
     made = (
         F.when(kind == 0, t)
-        .when(kind == 1, F.concat(F.lit(" ("), word, F.lit(")! ")))
+        .when(kind == 1, F.concat(F.lit(" ("), strip("text"), F.lit(")! ")))
         .when(kind == 2, F.length("text").cast("string"))
         .when(kind == 3, F.lit("기타"))
         .when(kind == 4, F.lit("  "))
