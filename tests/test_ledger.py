@@ -62,10 +62,10 @@ def test_result_diff_counts_duplicates(spark):
 
 
 LOG = [
-    "2025-06-19 01:00:00 - batch_service - INFO - 🎉 기간별 배치 처리 완료! - 끝",
+    "2025-06-19 01:00:00 - nightly_run - INFO - 🎉 기간별 배치 처리 완료! - 끝",
     "2025-06-19 01:00:01 - classifier - INFO - API 호출 성공",
     "2025-06-19 01:00:02 - classifier - ERROR - API 호출 실패: 429",
-    "2025-06-20 01:00:00 - batch_service - ERROR - ❌ 청크 3 처리 실패: x",
+    "2025-06-20 01:00:00 - nightly_run - ERROR - ❌ 청크 3 처리 실패: x",
     "  Traceback line",
 ]
 
@@ -76,7 +76,7 @@ def test_log_lines_and_counts(spark, tmp_path):
     lines = read_run_log(spark, str(path))
     got = lines.orderBy("logged_at").collect()
     assert tuple(got[0]) == (None, None, None, "  Traceback line")
-    assert tuple(got[1]) == (datetime(2025, 6, 19, 1), "batch_service", "INFO", "🎉 기간별 배치 처리 완료! - 끝")
+    assert tuple(got[1]) == (datetime(2025, 6, 19, 1), "nightly_run", "INFO", "🎉 기간별 배치 처리 완료! - 끝")
     counts = {(r.date, r.level): tuple(r)[2:] for r in ledger.log_counts(lines).collect()}
     assert counts == {
         (None, None): (1, 0, 0, 0, 0),

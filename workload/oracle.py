@@ -324,7 +324,7 @@ RESOLVED = """resolved AS (
 
 LOGS = """logs AS (
   SELECT CASE WHEN k = 99 THEN '  File ' || k ELSE
-    strftime(ts, '%Y-%m-%d %H:%M:%S') || CASE WHEN k BETWEEN 20 AND 25 THEN ' - classifier - ' ELSE ' - batch_service - ' END
+    strftime(ts, '%Y-%m-%d %H:%M:%S') || CASE WHEN k BETWEEN 20 AND 25 THEN ' - classifier - ' ELSE ' - nightly_run - ' END
     || CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARNING' ELSE 'INFO' END || ' - '
     || CASE WHEN k < 20 THEN 'API 호출 성공' WHEN k < 30 THEN 'API 호출 실패: timeout'
             WHEN event_type = 'error' AND k < 60 THEN '❌ 청크 ' || k || ' 처리 실패'

@@ -192,7 +192,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     line = F.concat(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
-        F.when(F.col("k").between(20, 25), " - classifier - ").otherwise(" - batch_service - "),
+        F.when(F.col("k").between(20, 25), " - classifier - ").otherwise(" - nightly_run - "),
         level,
         F.lit(" - "),
         message,
