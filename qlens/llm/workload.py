@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from qlens.llm import packing, simhash
+from qlens.llm import (
+    decontaminate,
+    html_text,
+    language,
+    licenses,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    token_counts,
+    winnowing,
+)
+from qlens.storage import checkpoint_dir, join_path
 
-QUERIES = {}
-ORACLE: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
@@ -28,3 +42,60 @@ def op1_best_fit_packing(spark, sf_dir):
 @query
 def op2_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_quality_classifier(spark, sf_dir):
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_html_extraction(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op7_language_id(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_sharding(spark, sf_dir):
+    return sharding.assignments(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_document_fingerprints(spark, sf_dir):
+    return winnowing.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_token_counts(spark, sf_dir):
+    """Starts from an empty cache of its own, so that it counts all contents whatever ran before."""
+    cache = join_path(checkpoint_dir(spark), f"token-counts-{uuid.uuid4().hex}")
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), cache)
+
+
+# Without an entry: 1 to 3, 5 to 7, 9 and 10 need a tokenizer, a trained model, XXH64, a flow or rolling hashes.
+ORACLE = {
+    "op4_license_scan": None,
+    "op8_sharding": f"""
+        WITH owners AS (
+            SELECT unnest(string_split('{",".join(map(str, sharding.lookup_table()))}', ',')) :: INT AS owner,
+                   unnest(range({sharding.SLOTS})) AS slot)
+        SELECT doc_id, owners.slot :: INT AS slot, 'shard-' || lpad(owner :: VARCHAR, 3, '0') AS shard
+        FROM documents JOIN owners
+          ON owners.slot = ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15)) :: BIGINT % {sharding.SLOTS}
+    """,
+}
+ORACLE = {name: sql for name, sql in ORACLE.items() if sql}
