@@ -11,7 +11,8 @@ can't be within the budget.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
@@ -151,6 +152,12 @@ def blocks(benchmark: DataFrame, block_characters: int = BLOCK_CHARACTERS) -> It
         yield [(r.item_id, r.text) for r in own.orderBy("item_id", "text").collect()]
 
 
+def matcher(spark, items: list[tuple[int, str]], rate: float) -> Callable[[], Matcher]:
+    """For tasks: the matcher of a block, made once by each Python worker from the broadcast items."""
+    shared, key = spark.sparkContext.broadcast(items), uuid.uuid4().hex
+    return lambda: per_worker(key, lambda: Matcher(shared.value, rate))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, block_characters: int = BLOCK_CHARACTERS) -> DataFrame:
     """doc_id, item_id, edits, end: every document and item that occurs in it, its fewest edits and where that ends.
 
@@ -159,14 +166,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, blo
     normalised text. Null texts hold nothing and null or blank items occur
     nowhere; repeated rows give repeated results, repeated items one.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-    out = None
-    for items in blocks(benchmark, block_characters):
-        shared, key = spark.sparkContext.broadcast(items), uuid.uuid4().hex
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, key=key) -> Iterator[pa.RecordBatch]:
-            match = per_worker(key, lambda: Matcher(shared.value, rate))
+    def found_in(block: Callable[[], Matcher]) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            match = block()
             for batch in batches:
                 rows = [(k, *m) for k, t in enumerate(batch.column("text").to_pylist()) for m in match(t)]
                 place, item, edits, end = zip(*rows) if rows else ((), (), (), ())
@@ -180,25 +184,25 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, blo
                     ["doc_id", "item_id", "edits", "end"],
                 )
 
-        found = texts.mapInArrow(run, "doc_id bigint, item_id bigint, edits int, end bigint")
-        out = found if out is None else out.unionByName(found)
-    return out
+        return texts.mapInArrow(run, "doc_id bigint, item_id bigint, edits int, end bigint")
+
+    found = (found_in(matcher(docs.sparkSession, items, rate)) for items in blocks(benchmark, block_characters))
+    return reduce(DataFrame.unionByName, found)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, block_characters: int = BLOCK_CHARACTERS) -> DataFrame:
     """``docs`` with all columns, without the rows that hold an item of ``benchmark``."""
-    spark = docs.sparkSession
-    for items in blocks(benchmark, block_characters):
-        shared, key = spark.sparkContext.broadcast(items), uuid.uuid4().hex
 
+    def without(rows: DataFrame, block: Callable[[], Matcher]) -> DataFrame:
         @F.pandas_udf("boolean")
-        def clean(batches: Iterator[pd.Series], shared=shared, key=key) -> Iterator[pd.Series]:
-            match = per_worker(key, lambda: Matcher(shared.value, rate))
+        def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            match = block()
             for texts in batches:
                 yield texts.map(lambda t: not match(t)).astype(bool)
 
-        docs = docs.select(whole_row(docs), clean(text_or_empty()).alias("ok")).filter("ok").select("row.*")
-    return docs
+        return rows.select(whole_row(rows), clean(text_or_empty()).alias("ok")).filter("ok").select("row.*")
+
+    return reduce(without, (matcher(docs.sparkSession, items, rate) for items in blocks(benchmark, block_characters)), docs)
 
 
 travels(__name__)
