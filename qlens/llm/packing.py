@@ -13,10 +13,10 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,77 +24,117 @@ from qlens.llm.common import per_worker, text_or_empty, travels
 from qlens.storage import kept
 
 CAPACITY = 4096
-CACHED_WORDS = 600_000
+CACHED_WORDS = 500_000
 LONG_WORD = 64
-# Letters that lower-casing and composition keep letters, then punctuation that stays one token group.
-PLAIN_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+SLICE = 6 << 20
+# A part of a text by line: letters that lower-casing and composition keep letters and then punctuation
+# that stays one token group (so no apostrophe), or anything else.
+PARTS = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.MULTILINE)
 
 
 # --- pieces ------------------------------------------------------------------
 
 
 class WordEncoder:
-    """Token ids of texts as little-endian unsigned 32-bit integers, encoding each word once.
+    """Token ids of texts, encoding each word once.
 
     For tokenizers that split at white space and drop it: a text's ids are
-    those of its parts between blanks and line feeds. Plain words are encoded
-    many to a call and told apart by the vocabulary's word-end mark; anything
-    else is a call of its own. The cache is emptied when it is full.
+    those of its parts between blanks and line feeds, and Arrow reduces the
+    parts of a batch to the distinct ones. Plain words are encoded many to a
+    call and told apart by the vocabulary's word-end mark, past the steps that
+    find words; this is tried out first and left alone where it doesn't give
+    the same ids. Anything else is a call of its own. The cache has two
+    halves; when the young one is full, the old one goes.
     """
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        suffix = self.tokenizer.model.end_of_word_suffix
-        vocabulary = self.tokenizer.get_vocab()
+        self.whole, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.words.normalizer = normalizers.Sequence([])
+        self.words.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary = self.whole.get_vocab()
+        suffix = getattr(self.whole.model, "end_of_word_suffix", None)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
-        self.cache: dict[str, bytes] = {"": b""}
+        trial = "a the word tokenizer ärger naïve éèêëçñößü x unbelievably zzzzq".split()
+        self.by_words = bool(suffix) and self.plain(trial) == self.direct(trial)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def direct(self, parts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+    def direct(self, parts: list[str], at_once: int = 500) -> list[bytes]:
+        out: list[bytes] = []
+        for k in range(0, len(parts), at_once):
+            found = self.whole.encode_batch_fast(parts[k : k + at_once], add_special_tokens=False)
+            out += [array("I", e.ids).tobytes() for e in found]
+        return out
 
     def plain(self, words: list[str], at_once: int = 500) -> list[bytes]:
-        """Ids of words of letters only; each ends at the first token with the word-end mark."""
+        """Ids of lower-case words of letters only; each ends at the first token with the word-end mark."""
         out: list[bytes] = []
         for k in range(0, len(words), at_once):
             own = words[k : k + at_once]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, dtype="<u4")
-            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            ids = np.array(self.words.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, dtype="<u4")
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             raw = ids.tobytes()
-            assert len(stops) == len(own)
-            out += [raw[i:j] for i, j in zip([0, *stops[:-1].tolist()], stops.tolist())]
+            out += [raw[i:j] for i, j in zip([0, *stops], stops)]
         return out
 
-    def learn(self, parts: list[str]) -> dict[str, bytes]:
-        if not self.ends.any():
-            return dict(zip(parts, self.direct(parts)))
-        cut = [(p, m[1].lower(), m[2]) for p in parts if (m := PLAIN_WORD.fullmatch(p))]
-        whole = list(set(parts).difference(p for p, _, _ in cut) | {tail for _, _, tail in cut})
-        ids = dict(zip(whole, self.direct(whole)))
-        words = {w for _, w, _ in cut}
-        known = {w: b for w in words if (b := self.cache.get(w)) is not None}
-        new = list(words.difference(known))
+    def learn(self, parts: list[str]) -> list[bytes]:
+        if not self.by_words:
+            return self.direct(parts)
+        cut = PARTS.findall("\n".join(parts))
+        words = [w.lower() for w, _, _ in cut]
+        known = {"": b""}
+        for w in set(words):
+            if (ids := self.recall(w)) is not None:
+                known[w] = ids
+        new = list(set(words).difference(known))
         known.update(zip(new, self.plain(new)))
-        ids.update((p, known[w] + ids[tail]) for p, w, tail in cut)
-        return ids
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.cache) > CACHED_WORDS:
-            self.cache = {"": b""}
-        found = [list(map(self.cache.get, p)) for p in parts]
-        lacking = [[k for k, b in enumerate(f) if b is None] if None in f else [] for f in found]
-        new = self.learn(list({p[k] for p, ks in zip(parts, lacking) for k in ks}))
-        for p, f, ks in zip(parts, found, lacking):
-            for k in ks:
-                f[k] = new[p[k]]
-        self.cache.update((w, b) for w, b in new.items() if len(w) <= LONG_WORD)
-        return [b"".join(f) for f in found]
+        whole = list({tail or other for _, tail, other in cut})
+        rest = dict(zip(whole, self.direct(whole)))
+        return [known[w] + rest[tail or other] for w, (_, tail, other) in zip(words, cut)]
+
+    def recall(self, part: str) -> bytes | None:
+        ids = self.young.get(part)
+        return self.old.get(part) if ids is None else ids
+
+    def distinct(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts as little-endian unsigned 32-bit integers."""
+        if len(self.young) > CACHED_WORDS // 2:
+            self.young, self.old = {}, self.young
+        found = list(map(self.recall, parts))
+        unseen = [w for w, ids in zip(parts, found) if ids is None]
+        if unseen:
+            new = iter(self.learn(unseen))
+            found = [next(new) if ids is None else ids for ids in found]
+        self.young.update((w, ids) for w, ids in zip(parts, found) if len(w) <= LONG_WORD)
+        return found
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, where each text's end)."""
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        places = parts.flatten().dictionary_encode()
+        each = self.distinct(places.dictionary.to_pylist())
+        sizes = np.fromiter((len(b) // 4 for b in each), dtype=np.int64, count=len(each))
+        ids = np.frombuffer(b"".join(each), dtype="<u4")
+        part = places.indices.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(sizes[part])))
+        first = np.cumsum(sizes) - sizes
+        at = np.arange(ends[-1]) + np.repeat(first[part] - ends[:-1], sizes[part])
+        return ids[at], ends[parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()]
+
+
+def slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Runs of texts, (first, count), of about ``size`` bytes each."""
+    run = np.cumsum(pc.binary_length(texts).to_numpy()) // size
+    starts = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1]))) if len(run) else np.empty(0, int)
+    yield from zip(starts.tolist(), np.diff([*starts, len(run)]).tolist())
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 1) -> DataFrame:
@@ -107,25 +147,27 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = per_worker(("words", tokenizer_path), lambda: WordEncoder(tokenizer_path))
-        end, room = array("I", [end_id]).tobytes(), 4 * capacity
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                place, pieces, starts, ids = [], [], [], []
-                for k, own in enumerate(encode(batch.column("text").to_pylist())):
-                    own += end
-                    for n, start in enumerate(range(0, len(own), room)):
-                        place.append(k)
-                        pieces.append(n)
-                        starts.append(start // 4)
-                        ids.append(own[start : start + room])
+        for batch in batches:
+            for at, n in slices(batch.column("text"), SLICE):
+                ids, ends = encode(batch.column("text").slice(at, n))
+                starts = np.concatenate(([0], ends[:-1]))
+                own = np.full(len(ids) + n, end_id, dtype="<u4")
+                own[np.arange(len(ids)) + np.repeat(np.arange(n), ends - starts)] = ids
+                starts, lengths = starts + np.arange(n), ends - starts + 1
+                count = -(-lengths // capacity)
+                place = np.repeat(np.arange(n), count)
+                piece = np.arange(len(place)) - np.repeat(np.cumsum(count) - count, count)
+                start = piece * capacity
+                length = np.minimum(capacity, lengths[place] - start)
+                begin = starts[place] + start
+                raw = own.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").take(pa.array(place, pa.int64())),
-                        pa.array(pieces, pa.int32()),
-                        pa.array(starts, pa.int64()),
-                        pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array(ids, pa.binary()),
+                        batch.column("doc_id").slice(at, n).take(pa.array(place)),
+                        pa.array(piece, pa.int32()),
+                        pa.array(start, pa.int64()),
+                        pa.array(length, pa.int64()),
+                        pa.array([raw[4 * b : 4 * (b + m)] for b, m in zip(begin.tolist(), length.tolist())], pa.binary()),
                     ],
                     ["doc_id", "piece", "start", "length", "ids"],
                 )
@@ -207,9 +249,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (any columns, ``length`` from 1 to ``capacity``) with sequence_id and offset.
 
     Every row gets its place, repeated rows too; an empty table stays empty.
-    Rows are numbered by (task, length) while they are written to the shared
-    folder; a small table of counts turns that into numbers over all rows, so
-    a length that many rows have is never gathered in one task. Columns of
+    Rows are numbered among those of their length that the same task wrote to
+    the shared folder; a small table of counts turns that into numbers over
+    all rows, so a length that many rows have is never gathered in one task. Columns of
     the input named like the results or the helpers are dropped.
     """
     spark = pieces.sparkSession
@@ -217,22 +259,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     payload = [c for c in pieces.columns if c not in helpers]
     schema = ", ".join(f"`{c}` {pieces.schema[c].dataType.simpleString()}" for c in payload)
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(capacity + 1, dtype=np.int64)
-        for batch in batches:
-            lengths = batch.column("length").to_numpy()
-            order = np.argsort(lengths, kind="stable")
-            values, starts, counts = np.unique(lengths[order], return_index=True, return_counts=True)
-            ranks = np.empty(len(lengths), dtype=np.int64)
-            ranks[order] = np.arange(len(lengths)) - np.repeat(starts - seen[values], counts)
-            seen[values] += counts
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ranks)], [*batch.schema.names, "_rank"])
-
-    numbered = kept(
-        pieces.select(*[F.col(f"`{c}`") for c in payload], F.spark_partition_id().alias("_part")).mapInArrow(
-            number, f"{schema}, _part int, _rank bigint"
-        )
-    )
+    numbered = kept(pieces.select(*[F.col(f"`{c}`") for c in payload], F.spark_partition_id().alias("_part")))
     counts = numbered.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("_part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
@@ -250,8 +277,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             out = [*batch.columns[: len(payload)], pa.array(table["sequence"][at] + turn), pa.array(table["offset"][at] + slot * length)]
             yield pa.RecordBatch.from_arrays(out, [*payload, "sequence_id", "offset"])
 
-    ranked = numbered.join(bases, ["_part", "length"]).select(
-        *[F.col(f"`{c}`") for c in payload], (F.col("_base") + F.col("_rank")).alias("_rank")
+    order = Window.partitionBy("_part", "length").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in payload]))
+    ranked = numbered.withColumn("_rank", F.row_number().over(order)).join(bases, ["_part", "length"]).select(
+        *[F.col(f"`{c}`") for c in payload], (F.col("_base") + F.col("_rank") - 1).alias("_rank")
     )
     return ranked.mapInArrow(place, f"{schema}, sequence_id bigint, offset bigint")
 

@@ -4,7 +4,9 @@ import zlib
 from array import array
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -33,19 +35,36 @@ def ids_of(tokenizer, text):
     return tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
 
 
+def encoded(encode, texts):
+    ids, ends = encode(pa.array(["skipped", *texts]).slice(1))
+    return [own.tolist() for own in np.split(ids, ends[:-1])]
+
+
 def test_words_encode_like_whole_texts(tokenizer, documents):
     texts = ODD + [r.text for r in documents.limit(60).collect()]
     encode = packing.WordEncoder(PATH)
     for _ in range(2):  # the second time from the cache
-        got = encode(texts)
-        assert got == [array("I", ids_of(tokenizer, t)[:-1]).tobytes() for t in texts]
+        assert encoded(encode, texts) == [ids_of(tokenizer, t)[:-1] for t in texts]
 
 
 def test_cache_may_be_emptied_at_any_time(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "CACHED_WORDS", 3)
     encode = packing.WordEncoder(PATH)
     for text in ODD * 2:
-        assert encode([text])[0] == array("I", ids_of(tokenizer, text)[:-1]).tobytes()
+        assert encoded(encode, [text]) == [ids_of(tokenizer, text)[:-1]]
+
+
+def test_other_tokenizers_are_not_taken_apart():
+    assert not packing.WordEncoder(public_tokenizers.path("byte_bpe_50k.json")).by_words
+    assert packing.WordEncoder(PATH).by_words
+
+
+def test_slices():
+    texts = pa.array(["", "abc", "d" * 50, "", "e", "f" * 7])
+    for size in (1, 5, 1000):
+        found = list(packing.slices(texts, size))
+        assert [k for a, n in found for k in range(a, a + n)] == list(range(6))
+    assert list(packing.slices(pa.array([], pa.string()), 5)) == []
 
 
 def test_fullest_against_all_combinations():
