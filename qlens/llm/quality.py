@@ -28,6 +28,7 @@ WORD_BUCKETS = 1 << 16
 BINS = 16
 RANK = 8
 EPOCHS = 6
+LEAST_STEPS = 300
 BATCH = 128
 RATE = 0.1
 SHRINK = 1e-4
@@ -123,7 +124,8 @@ def fit_model(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, see
     }
     seen_w = np.full(N_FEATURES, 1e-2, dtype=np.float32)
     seen_v = np.full((N_FEATURES, RANK), 1e-2, dtype=np.float32)
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // max(len(rows), BATCH)))  # more of them where rows are few
+    for _ in range(epochs if rows else 0):
         order = rng.permutation(len(rows))
         for k in range(0, len(order), BATCH):
             own = order[k : k + BATCH]
