@@ -76,6 +76,11 @@ def denormalize(df: DataFrame, schema: dict[str, str], cfg: SchemaConfig = Schem
     return df.select(*[F.col(name).alias(cfg.physical(name)) for name in schema])
 
 
+def binary(text: str) -> Column:
+    """The text without a collation: what word rules, regular expressions and stored rows use."""
+    return F.collate(F.col(text), "UTF8_BINARY")
+
+
 def resolve_query_column(columns: list[str]) -> str:
     """Name of the question column: by priority, else the second column, else the first."""
     for name in QUERY_COLUMN_PRIORITY:

@@ -13,7 +13,7 @@ def normalize_day(col: Column | str, is_text: bool = True) -> Column:
         return F.date_format(c, "yyyy-MM-dd")
     head = F.substring(c, 1, 10)
     dashes = F.length(head) - F.length(F.replace(head, F.lit("-"), F.lit("")))
-    short = F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), c.try_cast("date"))
+    short = F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}\z"), c.try_cast("date"))
     return F.when((F.length(c) >= 10) & (dashes == 2), head).otherwise(
         F.coalesce(F.date_format(short, "yyyy-MM-dd"), head)
     )

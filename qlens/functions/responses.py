@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from qlens.functions.fixed_values import CATEGORY_RULES
 from qlens.functions.text import (
+    OTHER,
     clean_keyword,
     fallback_classify,
-    first_meaningful_word,
     normalize_categories,
     strip,
 )
@@ -28,10 +28,19 @@ def _part(v: Column, path: str, dtype: str = "variant") -> Column:
     return F.try_variant_get(v, path, dtype)
 
 
+def _read(item: Column) -> Column:
+    """The two parts of an object, each path followed once."""
+    return F.struct(
+        _part(item, "$.keyword").alias("keyword"),
+        _part(item, "$.categories").alias("categories"),
+        _part(item, "$.categories", "array<variant>").alias("listed"),
+    )
+
+
 def _category_names(item: Column) -> Column:
     """String entries of ``categories``; NULL when it is neither a list nor a string."""
-    listed = _part(item, "$.categories", "array<variant>")
-    one = F.when(_kind(_part(item, "$.categories")) == "STRING", F.array(_part(item, "$.categories", "string")))
+    listed = item["listed"]
+    one = F.when(_kind(item["categories"]) == "STRING", F.array(_part(item["categories"], "$", "string")))
     return F.coalesce(
         F.transform(
             F.filter(listed, lambda n: _kind(n) == "STRING"), lambda n: _part(n, "$", "string")
@@ -44,7 +53,7 @@ def _has_odd_category(item: Column) -> Column:
     """A list entry that is neither text nor empty makes the response unusable."""
     return F.coalesce(
         F.exists(
-            _part(item, "$.categories", "array<variant>"),
+            item["listed"],
             lambda n: (_kind(n) != "STRING") & ~F.to_json(n).rlike(FALSY_JSON),
         ),
         F.lit(False),
@@ -53,8 +62,8 @@ def _has_odd_category(item: Column) -> Column:
 
 def _item(item: Column) -> Column:
     """One object of the response; ``broken`` sends the whole question to the word rules."""
-    keyword_kind = _kind(_part(item, "$.keyword"))
-    keyword = F.coalesce(strip(_part(item, "$.keyword", "string")), F.lit(""))
+    keyword_kind = _kind(item["keyword"])
+    keyword = F.coalesce(strip(_part(item["keyword"], "$", "string")), F.lit(""))
     wrong_keyword = F.coalesce(keyword_kind != "STRING", F.lit(False))
     return F.struct(
         keyword.alias("keyword"),
@@ -69,6 +78,7 @@ def parse_responses(
     text: str = "input_text",
     out: str = "classification",
     rules: Mapping[str, str] = CATEGORY_RULES,
+    other: str = OTHER,
 ) -> DataFrame:
     """Adds ``out``: ``array<struct<keyword, categories>>`` read from the response column.
 
@@ -88,15 +98,14 @@ def parse_responses(
         .withColumn("_items", _part(F.col("_args"), "$.keywords_with_categories", "array<variant>"))
         .withColumn(
             "_items",
-            F.transform(F.filter("_items", lambda i: _kind(i).startswith("OBJECT")), _item),
+            F.transform(F.transform(F.filter("_items", lambda i: _kind(i).startswith("OBJECT")), _read), _item),
         )
-        .withColumn("_word", first_meaningful_word(text))
     )
     usable = F.transform(
         F.filter("_items", lambda i: i["keyword"] != ""),
         lambda i: F.struct(
-            clean_keyword(i["keyword"], F.col(text), F.col("_word")).alias("keyword"),
-            normalize_categories(i["categories"]).alias("categories"),
+            clean_keyword(i["keyword"], F.col(text), other).alias("keyword"),
+            normalize_categories(i["categories"], other).alias("categories"),
         ),
     )
     broken = F.coalesce(F.exists("_items", lambda i: i["broken"]), F.lit(True))
@@ -106,7 +115,7 @@ def parse_responses(
             out,
             F.when(F.col(text).isNull(), None)
             .when(F.coalesce(F.size("_usable"), F.lit(0)) > 0, F.col("_usable"))
-            .otherwise(fallback_classify(text, rules)),
+            .otherwise(fallback_classify(text, rules, other)),
         )
-        .drop("_args", "_items", "_word", "_usable")
+        .drop("_args", "_items", "_usable")
     )

@@ -71,10 +71,10 @@ def _lowered(text: Column, words: Mapping[str, str]) -> Column:
     return text if all(w.lower() == w.upper() for w in words) else F.lower(text)
 
 
-def rule_category(text: Column | str, rules: Mapping[str, str] = CATEGORY_RULES) -> Column:
+def rule_category(text: Column | str, rules: Mapping[str, str] = CATEGORY_RULES, other: str = OTHER) -> Column:
     """Category of the first rule word found in the lower-cased text, else the default."""
     t = _col(text)
-    return F.when(t.isNotNull(), F.coalesce(_first_value(_hits(_lowered(t, rules), rules)), F.lit(OTHER)))
+    return F.when(t.isNotNull(), F.coalesce(_first_value(_hits(_lowered(t, rules), rules)), F.lit(other)))
 
 
 def rule_word(text: Column | str, rules: Mapping[str, str] = CATEGORY_RULES) -> Column:
@@ -82,6 +82,11 @@ def rule_word(text: Column | str, rules: Mapping[str, str] = CATEGORY_RULES) ->
     return _longest_word(_hits(_col(text), rules))
 
 
+def _if_any(text: Column) -> Column:
+    """The text, or NULL if it is empty; evaluated once, where ``nullif`` would repeat it."""
+    return F.get(F.filter(F.array(text), lambda t: t != ""), F.lit(0))
+
+
 def _first_long_word(text: Column, stop_words: Sequence[str]) -> Column:
     """First word of two or more characters that is not a stop word, else ''.
 
@@ -95,8 +100,8 @@ def _first_long_word(text: Column, stop_words: Sequence[str]) -> Column:
 def first_meaningful_word(text: Column | str, stop_words: Sequence[str] = KEYWORD_STOP_WORDS) -> Column:
     """First telling word cut to 20 characters, else the first 10 characters trimmed."""
     t = _col(text)
-    found = _first_long_word(t, stop_words)
-    return F.when(found != "", F.substring(found, 1, 20)).otherwise(strip(F.substring(t, 1, 10)))
+    found = _if_any(F.substring(_first_long_word(t, stop_words), 1, 20))
+    return F.when(t.isNotNull(), F.coalesce(found, strip(F.substring(t, 1, 10))))
 
 
 def rule_keyword(text: Column | str, rules: Mapping[str, str] = CATEGORY_RULES) -> Column:
@@ -111,21 +116,18 @@ def simple_keyword(text: Column | str) -> Column:
     return F.coalesce(_first_value(_hits(_lowered(t, topics), topics)), first_meaningful_word(t, SIMPLE_STOP_WORDS))
 
 
-def clean_keyword(keyword: Column | str, text: Column | str, extracted: Column | None = None) -> Column:
-    """Keyword as accepted from a classifier.
-
-    ``extracted`` may carry a precomputed ``first_meaningful_word(text)``.
-    """
+def clean_keyword(keyword: Column | str, text: Column | str, other: str = OTHER) -> Column:
+    """Keyword as accepted from a classifier; only an over-long one is searched for in the text."""
     k, t = _col(keyword), _col(text)
-    word = first_meaningful_word(t) if extracted is None else extracted
-    replacement = F.when(word == "", OTHER).otherwise(F.substring(word, 1, 50))
+    word = _if_any(F.substring(first_meaningful_word(t), 1, 50))
+    replacement = F.when(t.isNotNull(), F.coalesce(word, F.lit(other)))
     bare = F.btrim(strip(k), F.lit(KEYWORD_PUNCTUATION))
     return (
         F.when(F.length(k) > 100, replacement)
         .when((F.length(k) > 50) & (strip(k) == strip(t)), replacement)
-        .when(F.length(k) < 2, OTHER)
-        .when(k.rlike(f"^[\\p{{Nd}}{OTHER_DIGITS}]+\\z"), OTHER)
-        .when(F.length(bare) < 2, OTHER)
+        .when(F.length(k) < 2, other)
+        .when(k.rlike(f"^[\\p{{Nd}}{OTHER_DIGITS}]+\\z"), other)
+        .when(F.length(bare) < 2, other)
         .otherwise(bare)
     )
 
@@ -144,23 +146,21 @@ def truncate_keyword(keyword: Column | str, n: int = DEFAULTS.max_keyword_length
     return F.when(F.length(k) > n, F.concat(F.substring(k, 1, keep), F.lit("..."))).otherwise(k)
 
 
-def backfill_keyword(keyword: Column | str, text: Column | str) -> Column:
+def backfill_keyword(keyword: Column | str, text: Column | str, other: str = OTHER) -> Column:
     """A blank or default keyword is replaced by the simple keyword of the question."""
-    k = _col(keyword)
-    simple = simple_keyword(text)
-    return F.when(
-        strip(k).isin("", OTHER), F.when(simple == "", OTHER).otherwise(simple)
-    ).otherwise(k)
+    k, t = _col(keyword), _col(text)
+    simple = F.when(t.isNotNull(), F.coalesce(_if_any(simple_keyword(t)), F.lit(other)))
+    return F.when(strip(k).isin("", other), simple).otherwise(k)
 
 
-def normalize_categories(categories: Column | str) -> Column:
+def normalize_categories(categories: Column | str, other: str = OTHER) -> Column:
     """Trimmed, non-blank names; never empty. NULL input counts as the wrong type."""
     c = _col(categories)
     names = F.transform(F.filter(c, lambda x: x.isNotNull() & ~is_blank(x)), strip)
-    return F.when(c.isNull() | (F.size(names) == 0), F.array(F.lit(OTHER))).otherwise(names)
+    return F.when(c.isNull() | (F.size(names) == 0), F.array(F.lit(other))).otherwise(names)
 
 
-def fallback_classify(text: Column | str, rules: Mapping[str, str] = CATEGORY_RULES) -> Column:
+def fallback_classify(text: Column | str, rules: Mapping[str, str] = CATEGORY_RULES, other: str = OTHER) -> Column:
     """``array<struct<keyword, categories>>`` from the word rules alone."""
     t = _col(text)
     lowered = _lowered(t, rules)
@@ -170,7 +170,7 @@ def fallback_classify(text: Column | str, rules: Mapping[str, str] = CATEGORY_RU
         category = _first_value(hits) if lowered is t else _first_value(_hits(lowered, rules))
         return F.struct(
             F.coalesce(_longest_word(hits), first_meaningful_word(t)).alias("keyword"),
-            F.array(F.coalesce(category, F.lit(OTHER))).alias("categories"),
+            F.array(F.coalesce(category, F.lit(other))).alias("categories"),
         )
 
     return F.when(t.isNotNull(), F.transform(F.array(_hits(t, rules)), item))

@@ -28,7 +28,9 @@ def non_empty(col: Column | str) -> Column:
 def positive_integer(col: Column | str) -> Column:
     """Text that reads as a whole number above zero."""
     t = strip(col)
-    return _holds(t.rlike(r"^\+?[0-9]+(_[0-9]+)*$") & t.rlike("[1-9]"))
+    # any decimal digit counts; the zeros are the first of each run of ten
+    zero = "".join(chr(c) for c in range(0x110000) if chr(c).isdecimal() and int(chr(c)) == 0)
+    return _holds(t.rlike(r"^\+?\p{Nd}+(_\p{Nd}+)*\z") & t.rlike(rf"[\p{{Nd}}&&[^{zero}]]"))
 
 
 def positive_number(col: Column | str) -> Column:
@@ -39,7 +41,7 @@ def positive_number(col: Column | str) -> Column:
 def valid_day(col: Column | str) -> Column:
     """``yyyy-MM-dd`` text naming a real day; single-digit months and days are fine."""
     c = _col(col)
-    parsed = F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), c.try_cast("date"))
+    parsed = F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}\z"), c.try_cast("date"))
     return _holds(parsed >= F.lit("0001-01-01").cast("date"))
 
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qlens.config import DEFAULTS, KEYWORDS
+from qlens.config import DEFAULTS, KEYWORDS, Settings, binary
 from qlens.functions.fixed_values import CATEGORY_RULES
 from qlens.functions.responses import parse_responses
 from qlens.functions.text import (
@@ -24,6 +24,7 @@ from qlens.functions.text import (
 )
 from qlens.operators.lookup import resolve_category_ids
 from qlens.period import timestamp
+from qlens.storage import shuffle_partitions
 
 Classifier = Callable[[str], Any]
 
@@ -63,25 +64,29 @@ def classify(
     classifier: Classifier | None = None,
     rules: Mapping[str, str] = CATEGORY_RULES,
     parallelism: int | None = None,
+    settings: Settings = DEFAULTS,
 ) -> DataFrame:
     """Adds ``classification`` to every question.
 
     Without a classifier the word rules answer, as column expressions. A
     classifier sees each distinct question once for all days; its answers are
-    joined back. ``parallelism`` sets how many tasks call it.
+    joined back. ``parallelism`` sets how many tasks call it, by default as
+    many as a shuffle has: a call may take seconds, and the few bytes of a
+    list of questions would otherwise be merged into one task.
     """
+    other = settings.default_category_name
     if classifier is None:
-        return questions.withColumn("classification", fallback_classify("input_text", rules))
+        return questions.withColumn("classification", fallback_classify("input_text", rules, other))
     texts = questions.select("input_text").filter(F.col("input_text").isNotNull()).distinct()
-    if parallelism:
-        texts = texts.repartition(parallelism, "input_text")
-    answers = parse_responses(ask_classifier(texts, classifier), rules=rules).select(
+    # by a hash, because a repartition by the text itself is one with the de-duplication's shuffle and merged like it
+    texts = texts.repartition(parallelism or shuffle_partitions(questions.sparkSession), F.xxhash64("input_text"))
+    answers = parse_responses(ask_classifier(texts, classifier), rules=rules, other=other).select(
         "input_text", "classification"
     )
     return questions.join(answers, "input_text", "left")
 
 
-def explode_classification(classified: DataFrame) -> DataFrame:
+def explode_classification(classified: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """One row per question, keyword and category name.
 
     Blank keywords drop out; an over-long one gives way to the question, a
@@ -97,7 +102,7 @@ def explode_classification(classified: DataFrame) -> DataFrame:
     )
     named = items.select(*carried, "keyword", F.explode_outer("categories").alias("category_name"))
     return named.filter(F.col("category_name").isNotNull()).withColumn(
-        "keyword", backfill_keyword(cap_by_question("keyword", "input_text"), "input_text")
+        "keyword", backfill_keyword(cap_by_question("keyword", "input_text"), "input_text", settings.default_category_name)
     )
 
 
@@ -122,10 +127,15 @@ def classify_questions(
     classifier: Classifier | None = None,
     rules: Mapping[str, str] = CATEGORY_RULES,
     parallelism: int | None = None,
+    settings: Settings = DEFAULTS,
 ) -> DataFrame:
-    """Unique questions (text, total_count, created_at) to fact rows, ready to append."""
-    answered = classify(questions, classifier, rules, parallelism)
-    return to_facts(explode_classification(answered), categories, batch_created_at)
+    """Unique questions (text, total_count, created_at) to fact rows, ready to append.
+
+    Words are searched for in binary strings, whatever the questions' collation.
+    """
+    plain = questions.withColumn("input_text", binary("input_text"))
+    answered = classify(plain, classifier, rules, parallelism, settings)
+    return to_facts(explode_classification(answered, settings), categories, batch_created_at)
 
 
 def skipped_questions(questions: DataFrame, facts: DataFrame) -> DataFrame:

@@ -21,10 +21,17 @@ from qlens.operators.summary import classify_summary
 from qlens.period import Period, data_day_spine, day, day_spine, in_period, loaded_on, loaded_since
 
 MODES = ("first_day", "per_day", "ever")
+PAIRS = {"missing_date", "input_text", "missing_count", "first_seen"}
 
 
 def asked_pairs(chats: DataFrame, period: Period | None = None) -> DataFrame:
-    """One row per (day, question): messages and first time seen."""
+    """One row per (day, question): messages and first time seen.
+
+    Wherever messages are taken, this result of theirs for the same period may
+    be given instead, so that a run reads the messages once.
+    """
+    if PAIRS <= set(chats.columns):
+        return chats
     return (
         in_period(chats, period)
         .groupBy(day("created_at").alias("missing_date"), "input_text")
@@ -171,7 +178,9 @@ def final_missing_union(
 
 
 def _spine(chats: DataFrame, period: Period | None) -> DataFrame:
-    return data_day_spine(chats) if period is None else day_spine(chats.sparkSession, period)
+    if period is not None:
+        return day_spine(chats.sparkSession, period)
+    return data_day_spine(chats, "missing_date" if PAIRS <= set(chats.columns) else "created_at")
 
 
 def coverage_by_day(chats: DataFrame, keywords: DataFrame, period: Period | None = None) -> DataFrame:

@@ -8,12 +8,12 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from qlens.config import KEYWORDS, SchemaConfig
+from qlens.config import DEFAULTS, KEYWORDS, SchemaConfig, Settings, binary
 from qlens.functions.fixed_values import CATEGORY_RULES
 from qlens.operators.classify import Classifier, classify_questions, split_rejects
 from qlens.operators.gaps import (
+    asked_pairs,
     coverage_by_day,
     coverage_totals,
     missing_work,
@@ -24,9 +24,9 @@ from qlens.operators.ledger import run_ledger, run_totals
 from qlens.operators.questions import skip_existing, unique_questions_per_day
 from qlens.operators.report import report_rows, report_sheets
 from qlens.period import Period
-from qlens.sources.sinks import append_keywords, write_rejects, write_report
-from qlens.sources.tables import read_keywords
-from qlens.storage import kept
+from qlens.sources.sinks import append_keywords, append_keywords_table, write_rejects, write_report
+from qlens.sources.tables import is_path, read_keywords, stored_facts
+from qlens.storage import in_memory, scratch
 
 
 def as_questions(work: DataFrame) -> DataFrame:
@@ -47,31 +47,52 @@ def complete_run(
     classifier: Classifier | None = None,
     rules: Mapping[str, str] = CATEGORY_RULES,
     limit: int | None = None,
+    parallelism: int | None = None,
+    settings: Settings = DEFAULTS,
 ) -> DataFrame:
     """Classify every question of the period, then find and repair gaps, then verify; one summary row.
 
-    Nothing is written to the fact table. Questions and classified rows are kept
-    in the checkpoint folder, so the classifier runs once per step.
+    Nothing is written to the fact table. The messages are read once, reduced
+    to one row per (day, question); those and the classified rows are kept in
+    the checkpoint folder while the run lasts, so the classifier runs once per
+    step.
     """
-    facts = keywords.select(*KEYWORDS)
-    questions = kept(unique_questions_per_day(chats, period))
-    basic = kept(
-        classify_questions(questions, categories, batch_created_at, classifier, rules).select(*KEYWORDS)
-    )
-    facts = facts.unionByName(basic)
+    with scratch(chats.sparkSession) as keep:
+        summary = _complete_run(
+            keep, chats, keywords, categories, period, batch_created_at, classifier, rules, limit, parallelism, settings
+        )
+        return in_memory(summary)
 
-    found = coverage_totals(coverage_by_day(chats, facts, period)).first()["total_missing_questions"]
-    work = missing_work(chats, facts, period, "first_day", limit)
+
+def _complete_run(
+    keep, chats, keywords, categories, period, batch_created_at, classifier, rules, limit, parallelism, settings
+) -> DataFrame:
+    def classified(questions: DataFrame) -> DataFrame:
+        found = classify_questions(questions, categories, batch_created_at, classifier, rules, parallelism, settings)
+        return found.select(*KEYWORDS)
+
+    def together(facts: DataFrame, new: DataFrame) -> DataFrame:
+        """The fact table and new rows, in the fact table's collation and with its partition column."""
+        kinds = {f.name: f.dataType for f in facts.schema.fields}
+        new = new.withColumn("created_date", F.to_date("created_at")) if "created_date" in kinds else new
+        return facts.unionByName(new.select(*[F.col(c).cast(kind) for c, kind in kinds.items()]))
+
+    facts = keywords.select(*KEYWORDS, *(["created_date"] if "created_date" in keywords.columns else []))
+    pairs = keep(asked_pairs(chats, period))
+    questions = as_questions(pairs)
+    basic = keep(classified(questions))
+    facts = together(facts, basic)
+
+    found = coverage_totals(coverage_by_day(pairs, facts, period)).first()["total_missing_questions"]
+    work = missing_work(pairs, facts, period, "first_day", limit)
     if found == 0:
         work = work.limit(0)
-    todo = kept(as_questions(work))
-    repaired = kept(
-        classify_questions(todo, categories, batch_created_at, classifier, rules).select(*KEYWORDS)
-    )
-    facts = facts.unionByName(repaired)
+    todo = keep(as_questions(work))
+    repaired = keep(classified(todo))
+    facts = together(facts, repaired)
 
     def step(name: str, asked: DataFrame, rows: DataFrame) -> DataFrame:
-        counts = run_totals(run_ledger(asked, rows, period))
+        counts = run_totals(run_ledger(asked.withColumn("input_text", binary("input_text")), rows, period))
         return counts.select(
             F.lit(name).alias("step"),
             "total_rows",
@@ -80,7 +101,7 @@ def complete_run(
         )
 
     steps = step("basic", questions, basic).unionByName(step("missing", todo, repaired))
-    remaining = verify_verdict(verify_remaining(chats, facts, period)).select(
+    remaining = verify_verdict(verify_remaining(pairs, facts, period)).select(
         F.lit("verify").alias("step"),
         F.col("remaining_missing_count").alias("total_rows"),
         F.lit(0).cast("bigint").alias("rows_written"),
@@ -119,8 +140,9 @@ class RunResult:
 class Workspace:
     """The three tables of one installation and the runs over them.
 
-    ``fact_path`` is a parquet folder owned by this library; other sources may
-    be anything the readers accept, already loaded as DataFrames.
+    ``facts`` is a parquet folder or the name of a catalog table, owned by this
+    library; streams may append to the same folder. Other sources may be
+    anything the readers accept, already loaded as DataFrames.
     """
 
     def __init__(
@@ -128,41 +150,42 @@ class Workspace:
         spark: SparkSession,
         chats: DataFrame,
         categories: DataFrame,
-        fact_path: str,
+        facts: str,
         reject_path: str | None = None,
         cfg: SchemaConfig = SchemaConfig(),
         classifier: Classifier | None = None,
         rules: Mapping[str, str] = CATEGORY_RULES,
         parallelism: int | None = None,
+        settings: Settings = DEFAULTS,
     ) -> None:
         self.spark, self.chats, self.categories = spark, chats, categories
-        self.fact_path, self.reject_path, self.cfg = fact_path, reject_path, cfg
+        self.fact_source, self.reject_path, self.cfg = facts, reject_path, cfg
         self.classifier, self.rules, self.parallelism = classifier, rules, parallelism
+        self.settings = settings
 
     def facts(self, period: Period | None = None) -> DataFrame:
         """The fact table; empty before the first run."""
-        columns = {self.cfg.physical(name): dtype for name, dtype in KEYWORDS.items()} | {"created_date": "date"}
-        schema = ", ".join(f"`{name}` {dtype}" for name, dtype in columns.items())
-        try:
-            stored = self.spark.read.schema(schema).parquet(self.fact_path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            stored = self.spark.createDataFrame([], schema)
-        return read_keywords(self.spark, stored, self.cfg, period)
+        return read_keywords(self.spark, stored_facts(self.spark, self.fact_source, self.cfg), self.cfg, period)
+
+    def _append(self, facts: DataFrame) -> None:
+        if is_path(self.fact_source):
+            append_keywords(facts, self.fact_source, self.cfg)
+        else:
+            append_keywords_table(facts, self.fact_source, self.cfg)
 
     def _classify_and_append(self, questions: DataFrame, period: Period, loaded: datetime) -> RunResult:
-        questions = kept(questions)
-        facts = kept(
-            classify_questions(
-                questions, self.categories, loaded, self.classifier, self.rules, self.parallelism
-            ).select(*KEYWORDS)
-        )
-        good, bad = split_rejects(facts)
-        append_keywords(good, self.fact_path, self.cfg)
-        if self.reject_path:
-            write_rejects(bad, self.reject_path)
-        ledger = run_ledger(questions, good, period, bad)
+        with scratch(self.spark) as keep:
+            questions = keep(questions.withColumn("input_text", binary("input_text")))
+            facts = keep(
+                classify_questions(
+                    questions, self.categories, loaded, self.classifier, self.rules, self.parallelism, self.settings
+                ).select(*KEYWORDS)
+            )
+            good, bad = split_rejects(facts)
+            self._append(good)
+            if self.reject_path:
+                write_rejects(bad, self.reject_path)
+            ledger = in_memory(run_ledger(questions, good, period, bad))
         return RunResult(ledger, run_totals(ledger))
 
     def run_batch(self, period: Period, loaded: datetime | None = None, skip_done: bool = True) -> RunResult:
@@ -197,7 +220,7 @@ class Workspace:
         done = self._classify_and_append(
             as_questions(work), period, loaded or datetime.now().replace(microsecond=0)
         )
-        verdict = verify_verdict(verify_remaining(self.chats, self.facts(period), period))
+        verdict = in_memory(verify_verdict(verify_remaining(self.chats, self.facts(period), period)))
         return RunResult(done.ledger, done.totals, verdict)
 
     def repair(self, period: Period, mode: str = "first_day", limit: int | None = None) -> RunResult | None:
@@ -209,5 +232,6 @@ class Workspace:
 
     def report(self, period: Period, path: str, fmt: str = "csv") -> dict[str, str]:
         """The six report sheets of a period, one folder each."""
-        rows = kept(report_rows(self.facts(period), self.categories, period))
-        return write_report(report_sheets(rows, period), path, fmt)
+        with scratch(self.spark) as keep:
+            rows = keep(report_rows(self.facts(period), self.categories, period, self.settings))
+            return write_report(report_sheets(rows, period), path, fmt)

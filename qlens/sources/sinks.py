@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qlens.config import KEYWORDS, SchemaConfig, denormalize
+from qlens.config import KEYWORDS, SchemaConfig, binary, denormalize
 from qlens.storage import join_path
 
 MAX_RECORDS_PER_FILE = 5_000_000
+BATCH_LOAD = "batch"
 
 
 def append_keywords(
@@ -17,27 +18,37 @@ def append_keywords(
     cfg: SchemaConfig = SchemaConfig(),
     mode: str = "append",
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
+    load: str = BATCH_LOAD,
 ) -> None:
-    """Appends fact rows as parquet, one folder per day; ``overwrite`` replaces the whole path.
+    """Appends fact rows as parquet, one folder per day and load.
 
-    Rows are rebalanced by day first: small days are put together into few
-    files, a day too large for one task is split over several.
+    ``overwrite`` replaces the whole path, ``replace`` only the days of this
+    load that have rows again. Rows are rebalanced by day first: small days
+    are put together into few files, a day too large for one task is split
+    over several.
     """
-    out = denormalize(facts, KEYWORDS, cfg).withColumn("created_date", F.to_date(cfg.physical("created_at")))
+    out = stored_columns(facts, cfg).withColumn("load", F.lit(load))
     (
         out.hint("rebalance", "created_date")
-        .write.mode(mode)
+        .write.mode("overwrite" if mode == "replace" else mode)
         .option("maxRecordsPerFile", max_records_per_file)
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("created_date")
+        .option("partitionOverwriteMode", "dynamic" if mode == "replace" else "static")
+        .partitionBy("created_date", "load")
         .parquet(path)
     )
 
 
+def stored_columns(facts: DataFrame, cfg: SchemaConfig = SchemaConfig()) -> DataFrame:
+    """Physical columns without collations, and the day that tables are partitioned by."""
+    texts = {c: binary(c) for c in ("query_text", "keyword")}
+    out = denormalize(facts.select(*KEYWORDS).withColumns(texts), KEYWORDS, cfg)
+    return out.withColumn("created_date", F.to_date(cfg.physical("created_at")))
+
+
 def append_keywords_table(facts: DataFrame, table: str, cfg: SchemaConfig = SchemaConfig()) -> None:
     """Appends fact rows to a catalog table, matching columns by name."""
-    out = denormalize(facts, KEYWORDS, cfg).withColumn("created_date", F.to_date(cfg.physical("created_at")))
-    out.hint("rebalance", "created_date").write.mode("append").partitionBy("created_date").saveAsTable(table)
+    out = stored_columns(facts, cfg).hint("rebalance", "created_date")
+    out.write.mode("append").partitionBy("created_date").saveAsTable(table)
 
 
 def append_keywords_jdbc(
@@ -45,7 +56,8 @@ def append_keywords_jdbc(
 ) -> None:
     """Appends fact rows to a database table, in batched inserts per task."""
     (
-        denormalize(facts, KEYWORDS, cfg)
+        stored_columns(facts, cfg)
+        .drop("created_date")
         .write.format("jdbc")
         .options(**options)
         .option("batchsize", batch_size)

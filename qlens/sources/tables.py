@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from qlens.config import CATEGORIES, CHATS, KEYWORDS, SchemaConfig, normalize, resolve_query_column
 from qlens.operators.lookup import bounded_dimension
@@ -34,12 +36,12 @@ def jdbc_url(url: str) -> str:
 
 
 def jdbc_credentials(url: str) -> dict[str, str]:
-    """``user`` and ``password`` options found in a URL."""
+    """``user`` and ``password`` options found in a URL, percent-decoded."""
     login, at, _ = url.partition("://")[2].rpartition("@")
     if not at:
         return {}
     user, _, password = login.partition(":")
-    return {"user": user, "password": password} if password else {"user": user}
+    return {"user": unquote(user), "password": unquote(password)} if password else {"user": unquote(user)}
 
 
 @dataclass(frozen=True)
@@ -75,14 +77,14 @@ class JdbcSource:
         return opts | self.options
 
     def for_period(self, period: Period) -> "JdbcSource":
-        """Slices that span the period, one per day up to the configured number."""
+        """Slices of equal time that span the period; a single day is sliced as well."""
         return JdbcSource(
             self.url,
             self.table,
             self.partition_column,
             f"{period.start} 00:00:00",
             f"{period.end} 23:59:59",
-            max(1, min(self.partitions, period.days)),
+            self.partitions,
             self.fetch_size,
             self.options,
         )
@@ -100,7 +102,7 @@ def load(spark: SparkSession, source: Source, fmt: str = "parquet") -> DataFrame
         return source
     if isinstance(source, JdbcSource):
         return source.load(spark)
-    return spark.read.format(fmt).load(source) if "/" in source else spark.table(source)
+    return spark.read.format(fmt).load(source) if is_path(source) else spark.table(source)
 
 
 def table_columns(df: DataFrame) -> DataFrame:
@@ -123,7 +125,9 @@ def read_keywords(
 ) -> DataFrame:
     """The classified fact; the question column is found by name priority.
 
-    A table partitioned by ``created_date`` is pruned to the period.
+    A table partitioned by ``created_date`` keeps that column beside the
+    logical ones, so that it is pruned to ``period`` and to any period an
+    operator filters by later.
     """
     if isinstance(source, JdbcSource) and period is not None:
         source = source.for_period(period)
@@ -136,9 +140,27 @@ def read_keywords(
             {**cfg.columns, "query_text": resolve_query_column(raw.columns)},
             cfg.collation,
         )
-    if period is not None and "created_date" in raw.columns:
-        raw = raw.filter(F.col("created_date").between(F.lit(period.start), F.lit(period.end)))
-    return in_period(normalize(raw, KEYWORDS, cfg), period)
+    days = [F.col("created_date")] if "created_date" in raw.columns else []
+    return in_period(raw.select(*cfg.select_list(KEYWORDS), *days), period)
+
+
+def stored_facts(spark: SparkSession, source: str, cfg: SchemaConfig = SchemaConfig()) -> DataFrame:
+    """Every row written so far by any run, as stored: a fact folder or a catalog table; empty before the first."""
+    columns = {cfg.physical(name): dtype for name, dtype in KEYWORDS.items()} | {"created_date": "date", "load": "string"}
+    schema = ", ".join(f"`{name}` {dtype}" for name, dtype in columns.items())
+    if is_path(source):
+        try:
+            return spark.read.schema(schema).parquet(source)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    elif spark.catalog.tableExists(source):
+        return spark.table(source)
+    return spark.createDataFrame([], schema)
+
+
+def is_path(source: str) -> bool:
+    return "/" in source
 
 
 def read_categories(spark: SparkSession, source: Source, cfg: SchemaConfig = SchemaConfig()) -> DataFrame:

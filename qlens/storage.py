@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,37 @@ def kept(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """``kept`` for the length of a ``with`` block: its folders go when the block ends.
+
+    What outlives the block must not read them.
+    """
+    folders: list[str] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        folders.append(join_path(checkpoint_dir(spark), f"kept-{uuid.uuid4().hex}"))
+        df.write.parquet(folders[-1])
+        return spark.read.schema(df.schema).parquet(folders[-1])
+
+    try:
+        yield keep
+    finally:
+        for folder in folders:
+            delete(spark, folder)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder wherever Spark's file systems can reach it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def in_memory(df: DataFrame) -> DataFrame:
+    """A result of a few rows, bounded by the days of a period, that no longer depends on stored data."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Like ``kept``, for when the order of rows and partitions matters as well."""
     spark = df.sparkSession

@@ -8,14 +8,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
-from qlens.config import KEYWORDS
+from qlens.config import DEFAULTS, KEYWORDS, Settings
 from qlens.functions.fixed_values import CATEGORY_RULES
 from qlens.operators.classify import Classifier, classify_questions, split_rejects
 from qlens.operators.questions import skip_existing
 from qlens.sources.sinks import append_keywords
-from qlens.storage import join_path, kept
+from qlens.sources.tables import stored_facts
+from qlens.storage import join_path, scratch
 
 WORK_SCHEMA = "input_text string, total_count bigint, created_at date"
 
@@ -30,16 +30,11 @@ def write_work(questions: DataFrame, path: str, rows_per_file: int = 100_000) ->
     )
 
 
-def stored_facts(spark: SparkSession, sink: str) -> DataFrame:
-    """Every row written so far by any run; empty before the first."""
-    fields = ", ".join(f"{name} {dtype}" for name, dtype in KEYWORDS.items())
-    schema = f"{fields}, run string, batch_id bigint, created_date date"
-    try:
-        return spark.read.schema(schema).parquet(sink)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def one_per_pair(questions: DataFrame) -> DataFrame:
+    """One row per (question, day). Work written twice is the same work, so the larger count is kept, not the sum."""
+    return questions.groupBy("input_text", F.to_date("created_at").alias("created_at")).agg(
+        F.max("total_count").alias("total_count")
+    )
 
 
 def classify_stream(
@@ -55,26 +50,34 @@ def classify_stream(
     files_per_step: int = 100,
     skip_done: bool = True,
     rejects: str | None = None,
+    parallelism: int | None = None,
+    settings: Settings = DEFAULTS,
 ) -> StreamingQuery:
     """Classifies the work files not yet done, a bounded number per step, and appends the rows.
 
-    Each step owns the folder ``run=<run>/batch_id=<step>`` and replaces it
-    when repeated, so a step that failed half-way leaves no duplicates. The
-    checkpoint remembers finished files. ``skip_done`` leaves out pairs stored
-    by other steps or runs.
+    ``sink`` is a fact folder, the same that batch runs append to. The rows of
+    a step form a load of their own, ``<run>-<step>``, which replaces itself
+    when the step is repeated, so one that failed half-way leaves no
+    duplicates. The checkpoint remembers finished files. ``skip_done`` leaves
+    out pairs stored by any other load; only the days of the step are read for
+    that.
     """
 
     def step(questions: DataFrame, batch_id: int) -> None:
-        session = questions.sparkSession
-        if skip_done:
-            own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
-            questions = skip_existing(questions, stored_facts(session, sink).filter(~own))
-        facts = classify_questions(questions, categories, batch_created_at, classifier, rules).select(*KEYWORDS)
-        good, bad = split_rejects(kept(facts) if rejects else facts)
-        folder = (f"run={run}", f"batch_id={batch_id}")
-        append_keywords(good, join_path(sink, *folder), mode="overwrite")
-        if rejects:
-            bad.write.mode("overwrite").parquet(join_path(rejects, *folder))
+        session, load = questions.sparkSession, f"{run}-{batch_id}"
+        with scratch(session) as keep:
+            asked = keep(one_per_pair(questions))
+            if skip_done:
+                first, last = asked.agg(F.min("created_at"), F.max("created_at")).first()
+                stored = stored_facts(session, sink).filter((F.col("load") != load) & F.col("created_date").between(first, last))
+                asked = skip_existing(asked, stored)
+            facts = classify_questions(
+                asked, categories, batch_created_at, classifier, rules, parallelism, settings
+            ).select(*KEYWORDS)
+            good, bad = split_rejects(keep(facts) if rejects else facts)
+            append_keywords(good, sink, mode="replace", load=load)
+            if rejects:
+                bad.write.mode("overwrite").parquet(join_path(rejects, f"load={load}"))
 
     return (
         spark.readStream.schema(WORK_SCHEMA)

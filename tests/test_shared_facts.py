@@ -1,0 +1,196 @@
+"""One fact table for batch, stream and reports: layout, pruning, settings, collation, catalog tables."""
+
+import os
+from datetime import datetime
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from qlens import Period, SchemaConfig, Workspace, complete_run
+from qlens.config import Settings
+from qlens.operators.classify import classify
+from qlens.operators.gaps import missing_pairs
+from qlens.operators.questions import unique_questions_per_day
+from qlens.operators.summary import classify_summary
+from qlens.sources.sinks import append_keywords
+from qlens.sources.tables import JdbcSource, jdbc_credentials, read_chats, read_keywords, stored_facts
+from qlens.storage import checkpoint_dir, scratch
+from qlens.streaming.incremental import classify_stream, write_work
+
+P = Period("2025-06-11", "2025-06-13")
+LOADED = datetime(2025, 6, 20, 1)
+
+
+@pytest.fixture
+def chats(make_chats):
+    return make_chats(
+        ("전학 절차", "2025-06-11T09:00:00"),
+        ("전학 절차", "2025-06-11T10:00:00"),
+        ("전학 절차", "2025-06-12T10:00:00"),
+        ("성적 확인", "2025-06-12T10:00:00"),
+        ("Weather", "2025-06-13T10:00:00"),
+        ("weather ", "2025-06-13T11:00:00"),
+    )
+
+
+def plan(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def stream(spark, tmp_path, categories, facts, name="live", **kw):
+    q = classify_stream(spark, str(tmp_path / "work"), facts, str(tmp_path / f"cp-{name}"), categories, name, LOADED, **kw)
+    q.awaitTermination()
+    assert q.exception() is None
+
+
+def test_batch_then_stream_then_check_and_report(spark, chats, categories, tmp_path):
+    facts = str(tmp_path / "facts")
+    ws = Workspace(spark, chats, categories, facts)
+    ws.run_batch(Period("2025-06-11", "2025-06-11"), LOADED)
+    write_work(unique_questions_per_day(chats, P), str(tmp_path / "work"))
+    stream(spark, tmp_path, categories, facts)
+    assert ws.facts().count() == 5  # the pair of the batch run was left out
+    assert ws.check_missing(P)[1].first().total_missing_questions == 0
+    assert ws.repair(P) is None
+    folders = ws.report(P, str(tmp_path / "report"))
+    assert spark.read.option("header", True).csv(folders["채팅키워드분류"]).count() == 5
+    assert ws.run_batch(P, LOADED).totals.first().processed_count == 0
+
+
+def test_work_written_twice_is_classified_once(spark, chats, categories, tmp_path):
+    work = unique_questions_per_day(chats, P)
+    for _ in range(2):
+        write_work(work, str(tmp_path / "work"))
+    stream(spark, tmp_path, categories, str(tmp_path / "facts"))
+    stored = stored_facts(spark, str(tmp_path / "facts"))
+    assert stored.count() == work.count() == stored.select("query_text", "created_at").distinct().count()
+    assert rows(stored.select("query_text", "query_count")) == rows(work.select("input_text", "total_count"))
+
+
+def test_a_step_reads_only_its_days(spark, make_keywords, tmp_path):
+    append_keywords(make_keywords(("a", "k", 1, 1, "2025-06-11"), ("b", "k", 1, 1, "2025-07-11")), str(tmp_path / "facts"))
+    stored = stored_facts(spark, str(tmp_path / "facts"))
+    step = stored.filter((F.col("load") != "x") & F.col("created_date").between(P.start, P.end))
+    assert "PartitionFilters: [isnotnull(load" in plan(step) and "created_date" in plan(step).split("PartitionFilters")[1][:300]
+    assert step.count() == 1
+
+
+def test_periods_of_operators_prune(spark, chats, categories, make_keywords, tmp_path):
+    path = str(tmp_path / "facts")
+    append_keywords(make_keywords(("a", "k", 1, 1, "2025-06-11"), ("b", "k", 1, 1, "2025-07-11")), path)
+    facts = read_keywords(spark, path)
+    for df in (missing_pairs(chats, facts, P, "per_day"), classify_summary(facts, categories, P)):
+        assert "PartitionFilters: [isnotnull(created_date" in plan(df)
+
+
+def test_classifier_calls_are_spread(spark):
+    texts = spark.range(500).select(F.concat(F.lit("질문 "), F.col("id").cast("string")).alias("input_text"))
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+    def tasks(**options):
+        def where(_):
+            from pyspark import TaskContext
+
+            return [{"keyword": f"task{TaskContext.get().partitionId()}", "categories": ["기타"]}]
+
+        return classify(texts, where, **options).select(F.explode("classification.keyword")).distinct().count()
+
+    assert tasks() == 4 and tasks(parallelism=7) == 7
+
+
+def test_parallelism_reaches_runs_and_streams(spark, chats, categories, make_keywords, tmp_path):
+    def answer(_):
+        return [{"keyword": "답변", "categories": ["입학 관련"]}]
+
+    none = make_keywords(("x", "k", 1, 1, "2025-06-11")).limit(0)
+    r = complete_run(chats, none, categories, P, LOADED, classifier=answer, parallelism=3).first()
+    assert (r.basic_rows, r.verification_success) == (5, True)
+    write_work(unique_questions_per_day(chats, P), str(tmp_path / "work"))
+    stream(spark, tmp_path, categories, str(tmp_path / "facts"), classifier=answer, parallelism=3)
+    assert rows(stored_facts(spark, str(tmp_path / "facts")).select("keyword").distinct()) == [("답변",)]
+
+
+def test_complete_run_reads_messages_once(spark, chats, categories, make_keywords):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+
+    none = make_keywords(("x", "k", 1, 1, "2025-06-11")).limit(0)
+    complete_run(chats.mapInPandas(counted, chats.schema), none, categories, P, LOADED).collect()
+    assert read.value == chats.count()
+
+
+def test_kept_folders_go_when_a_run_ends(spark, chats, categories, make_keywords, tmp_path):
+    def kept():
+        return {f for f in os.listdir(checkpoint_dir(spark)) if f.startswith("kept-")}
+
+    before = kept()
+    ws = Workspace(spark, chats, categories, str(tmp_path / "facts"))
+    run = ws.run_batch(P, LOADED)
+    ws.report(P, str(tmp_path / "report"))
+    done = ws.process_missing(P, mode="per_day", loaded=LOADED)
+    summary = complete_run(chats, make_keywords(("x", "k", 1, 1, "2025-06-11")).limit(0), categories, P, LOADED)
+    assert kept() == before
+    assert run.ledger.count() == 3 and run.totals.first().processed_count == 5  # results outlive the folders
+    assert done.verdict.first().verification_success and summary.first().verification_success
+    with pytest.raises(ZeroDivisionError), scratch(spark) as keep:
+        keep(spark.range(3))
+        1 / 0
+    assert kept() == before
+
+
+def test_a_catalog_table_as_fact_table(spark, chats, categories):
+    name = "qlens_test_facts"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    try:
+        ws = Workspace(spark, chats, categories, name)
+        assert ws.facts().count() == 0
+        ws.run_batch(Period("2025-06-11", "2025-06-11"), LOADED)
+        ws.run_batch(P, LOADED)
+        assert spark.table(name).count() == ws.facts().count() == 5
+        assert "PartitionFilters: [isnotnull(created_date" in plan(ws.facts(P))
+        assert ws.check_missing(P)[1].first().total_missing_questions == 0
+        assert ws.run_batch(P, LOADED).totals.first().processed_count == 0
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_another_default_category(spark, chats, tmp_path):
+    categories = spark.createDataFrame([(3, "sonst"), (5, "전학, 편입"), (4, "평가(성적) 관련")], "category_id int, category_name string")
+    ws = Workspace(spark, chats, categories, str(tmp_path / "facts"), settings=Settings(3, "sonst"))
+    ws.run_batch(P, LOADED)
+    assert rows(ws.facts().select("query_text", "category_id").distinct()) == [
+        ("Weather", 3), ("weather ", 3), ("성적 확인", 4), ("전학 절차", 5)
+    ]
+    folders = ws.report(P, str(tmp_path / "report"))
+    named = spark.read.option("header", True).csv(folders["채팅키워드분류"])
+    assert {r[2] for r in named.collect()} == {"sonst", "전학, 편입", "평가(성적) 관련"}
+    none = ws.facts().limit(0)
+    assert complete_run(chats, none, categories, P, LOADED, settings=Settings(3, "sonst")).first().basic_rows == 5
+
+
+@pytest.mark.parametrize("collation", ["UNICODE_CI_RTRIM", "UTF8_LCASE"])
+def test_collation_from_end_to_end(spark, chats, categories, tmp_path, collation):
+    cfg = SchemaConfig(collation=collation)
+    ws = Workspace(spark, read_chats(spark, chats, cfg), categories, str(tmp_path / "facts"), str(tmp_path / "rejects"), cfg)
+    ws.run_batch(P, LOADED)
+    asked = 4 if collation == "UNICODE_CI_RTRIM" else 5  # with or without the trailing blank
+    assert ws.facts().count() == asked
+    assert ws.check_missing(P)[1].first().total_missing_questions == 0
+    assert ws.run_batch(P, LOADED).totals.first().processed_count == 0
+    assert ws.process_missing(P, mode="per_day", loaded=LOADED).verdict.first().verification_success
+    folders = ws.report(P, str(tmp_path / "report"))
+    assert spark.read.option("header", True).csv(folders["채팅키워드분류"]).count() == asked
+    assert complete_run(ws.chats, ws.facts().limit(0), categories, P, LOADED).first().basic_rows == asked
+
+
+def test_database_slices_and_login():
+    day = JdbcSource("mysql://u%40x:p%40s%2Fs@host/db", "chattings", partitions=6).for_period(Period("2025-06-11", "2025-06-11"))
+    options = day.reader_options()
+    assert options["numPartitions"] == "6" and options["upperBound"] == "2025-06-11 23:59:59"
+    assert jdbc_credentials("mysql://u%40x:p%40s%2Fs@host/db") == {"user": "u@x", "password": "p@s/s"}
+    assert jdbc_credentials("postgresql://only%20user@host/db") == {"user": "only user"}

@@ -60,7 +60,7 @@ def test_append_under_physical_names(spark, make_keywords, tmp_path):
     cfg = SchemaConfig(columns={"query_text": "content", "created_at": "day"})
     path = str(tmp_path / "facts")
     sinks.append_keywords(make_keywords(("a", "k", 1, 1, "2025-06-19")), path, cfg)
-    assert set(spark.read.parquet(path).columns) == {"content", "keyword", "category_id", "query_count", "day", "batch_created_at", "created_date"}
+    assert set(spark.read.parquet(path).columns) == {"content", "keyword", "category_id", "query_count", "day", "batch_created_at", "created_date", "load"}
     assert tables.read_keywords(spark, path, cfg).first().query_text == "a"
 
 
@@ -85,7 +85,7 @@ def test_database_urls_and_options():
         tables.jdbc_url("oracle://h/d")
     source = tables.JdbcSource("mysql+pymysql://u:p@host/db", "chattings", partitions=31)
     week = source.for_period(Period("2025-06-11", "2025-06-17")).reader_options()
-    assert week["numPartitions"] == "7" and week["lowerBound"] == "2025-06-11 00:00:00"
+    assert week["numPartitions"] == "31" and week["lowerBound"] == "2025-06-11 00:00:00"
     assert (week["user"], week["password"]) == ("u", "p") and "p@" not in week["url"]
     assert "partitionColumn" not in source.reader_options()
 

@@ -6,7 +6,8 @@ from conftest import rows
 from qlens.operators.classify import classify_questions
 from qlens.operators.questions import unique_questions_per_day
 from qlens.period import Period
-from qlens.streaming.incremental import classify_stream, stored_facts, write_work
+from qlens.sources.tables import stored_facts
+from qlens.streaming.incremental import classify_stream, write_work
 from workload import views
 
 LOADED = datetime(2024, 2, 3, 1)

@@ -188,8 +188,8 @@ def test_validation(spark):
     cases = {
         validation.valid_email: [("a.b+c@d-e.fr", True), ("a@b", False), ("a b@c.de", False), ("a@b.c", False), (None, False), ("a@b.co\n", True)],
         validation.non_empty: [(" x ", True), ("　", False), ("", False), (None, False)],
-        validation.positive_integer: [("5", True), (" 07 ", True), ("0", False), ("-3", False), ("1.5", False), ("x", False), ("1_000", True), (None, False)],
-        validation.valid_day: [("2024-02-29", True), ("2024-2-9", True), ("2023-02-29", False), ("2024/01/01", False), ("20240101", False), (None, False)],
+        validation.positive_integer: [("5", True), (" 07 ", True), ("0", False), ("-3", False), ("1.5", False), ("x", False), ("1_000", True), (None, False), ("５", True), ("０", False), ("٣", True), ("5\n", True), ("5_", False), ("1\n2", False)],
+        validation.valid_day: [("2024-02-29", True), ("2024-2-9", True), ("2023-02-29", False), ("2024/01/01", False), ("20240101", False), (None, False), ("2024-1-1\n", False)],
         validation.keyword_structure: [
             ('[{"keyword":"a","categories":["b"]}]', True),
             ("[]", True),

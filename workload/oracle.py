@@ -1,4 +1,4 @@
-"""DuckDB SQL for the registered queries, in their literal (window and left-join) form.
+"""DuckDB SQL for the registered queries.
 
 Base views are repeated as common table expressions, written independently of
 the DataFrame code; only the fixed word lists are shared.
@@ -60,40 +60,36 @@ def with_(*views: str) -> str:
 CK = with_(EV, CHATS, KW)
 
 
-# --- classification summary, as a chain of windows and joins ------------------
+# --- classification summary --------------------------------------------------
 
 
 def summary_ctes(period: str = MONTH) -> str:
-    return f"""base AS (SELECT * FROM admin_chat_keywords WHERE {period}),
-first_occurrence AS (
-  SELECT query_text, created_at, query_count,
-         ROW_NUMBER() OVER (PARTITION BY query_text ORDER BY {FACT_ORDER}) AS rn FROM base),
-keyword_ranked AS (
-  SELECT query_text, keyword,
-         ROW_NUMBER() OVER (PARTITION BY query_text ORDER BY {FACT_ORDER}) AS rn FROM base),
-category_ranked AS (
-  SELECT query_text, category_id,
-         ROW_NUMBER() OVER (PARTITION BY query_text ORDER BY MIN(created_at), category_id) AS rn
-  FROM base WHERE category_id != 11 GROUP BY query_text, category_id),
-final_agg AS (
-  SELECT fo.query_text, any_value(fo.created_at) AS created_at, any_value(fo.query_count) AS query_count,
-         CASE WHEN SUM(CASE WHEN b.category_id = 11 THEN 1 ELSE 0 END) = COUNT(*) THEN 11
-              ELSE any_value(cr.category_id) END AS final_category
-  FROM first_occurrence fo JOIN base b ON fo.query_text = b.query_text
-  LEFT JOIN category_ranked cr ON fo.query_text = cr.query_text AND cr.rn = 1
-  WHERE fo.rn = 1 GROUP BY fo.query_text),
+    """``picked``: per question its earliest row and its category; ``summary`` adds the category's name."""
+    return f"""picked AS (
+  SELECT query_text,
+         first(struct_pack(created_at, keyword, query_count) ORDER BY {FACT_ORDER}) AS earliest,
+         first(category_id ORDER BY created_at, category_id) FILTER (WHERE category_id <> 11) AS real_category,
+         bool_and(category_id IS NOT DISTINCT FROM 11) AS only_default
+  FROM admin_chat_keywords WHERE {period} AND query_text IS NOT NULL GROUP BY query_text),
 summary AS (
-  SELECT c.category_name, fa.query_text, kr.keyword, fa.created_at, fa.query_count
-  FROM final_agg fa
-  LEFT JOIN keyword_ranked kr ON fa.query_text = kr.query_text AND kr.rn = 1
-  LEFT JOIN admin_categories c ON fa.final_category = c.category_id)"""
+  SELECT category_name, query_text, earliest.keyword, earliest.created_at, earliest.query_count
+  FROM picked LEFT JOIN admin_categories
+    ON category_id = if(only_default, 11, real_category))"""
+
+
+# The row of NULL questions, which the summary leaves out.
+NULL_QUESTION = f""" UNION ALL SELECT NULL, {{}} FROM (
+  SELECT first(struct_pack(created_at, keyword, query_count) ORDER BY {FACT_ORDER}) AS f
+  FROM admin_chat_keywords WHERE {MONTH} AND query_text IS NULL HAVING COUNT(*) > 0)"""
 
 
 # --- gaps --------------------------------------------------------------------
 
+# Which facts count as proof that a question (on a day) is done.
 CLASSIFIED = {
-    "first_day": "SELECT query_text, CAST(created_at AS DATE) AS dt FROM final_agg",
+    "first_day": "SELECT query_text, CAST(earliest.created_at AS DATE) AS dt FROM picked",
     "per_day": f"SELECT DISTINCT query_text, CAST(created_at AS DATE) AS dt FROM admin_chat_keywords WHERE {MONTH}",
+    "ever": f"SELECT DISTINCT query_text FROM admin_chat_keywords WHERE {MONTH}",
     "since": "SELECT DISTINCT query_text, CAST(created_at AS DATE) AS dt FROM admin_chat_keywords "
     f"WHERE CAST(batch_created_at AS DATE) >= DATE '2024-02-02' AND {MONTH}",
     "union": "SELECT query_text, CAST(created_at AS DATE) AS dt FROM summary UNION "
@@ -102,18 +98,13 @@ CLASSIFIED = {
 
 
 def gap_ctes(mode: str) -> str:
-    """``gaps``: messages without a classified partner."""
+    """``gaps``: the messages of the period for which no proof exists."""
     needs = summary_ctes() + ",\n" if mode in ("first_day", "union") else ""
-    if mode == "ever":
-        on = "c.input_text = t.query_text"
-        source = f"SELECT DISTINCT query_text FROM admin_chat_keywords WHERE {MONTH}"
-    else:
-        on = "c.input_text = t.query_text AND CAST(c.created_at AS DATE) = t.dt"
-        source = CLASSIFIED[mode]
-    return f"""{needs}gaps AS (
-  SELECT CAST(c.created_at AS DATE) AS missing_date, c.input_text, c.created_at
-  FROM chattings c LEFT JOIN ({source}) t ON {on}
-  WHERE t.query_text IS NULL AND c.{MONTH})"""
+    same_day = "" if mode == "ever" else "AND proof.dt = CAST(asked.created_at AS DATE)"
+    return f"""{needs}proof AS ({CLASSIFIED[mode]}),
+gaps AS (
+  SELECT CAST(created_at AS DATE) AS missing_date, input_text, created_at FROM chattings asked
+  WHERE asked.{MONTH} AND NOT EXISTS (FROM proof WHERE proof.query_text = asked.input_text {same_day}))"""
 
 
 WORK = "SELECT missing_date, input_text, COUNT(*) AS missing_count FROM gaps GROUP BY missing_date, input_text"
@@ -453,10 +444,14 @@ SELECT * FROM asked WHERE COALESCE(input_text || '|' || CAST(created_at AS VARCH
 FROM chattings WHERE {MONTH} GROUP BY input_text
 ORDER BY total_count DESC, created_at, input_text NULLS FIRST OFFSET 100""",
     "first_occurrence": with_(EV, KW, CATS, summary_ctes())
-    + "SELECT query_text, created_at, query_count FROM first_occurrence WHERE rn = 1",
-    "earliest_keyword": with_(EV, KW, CATS, summary_ctes()) + "SELECT query_text, keyword FROM keyword_ranked WHERE rn = 1",
+    + "SELECT query_text, earliest.created_at, earliest.query_count FROM picked"
+    + NULL_QUESTION.format("f.created_at, f.query_count"),
+    "earliest_keyword": with_(EV, KW, CATS, summary_ctes())
+    + "SELECT query_text, earliest.keyword FROM picked"
+    + NULL_QUESTION.format("f.keyword"),
     "earliest_category": with_(EV, KW, CATS, summary_ctes())
-    + "SELECT query_text, category_id FROM category_ranked WHERE rn = 1",
+    + f"""SELECT query_text, first(category_id ORDER BY created_at, category_id) AS category_id
+FROM admin_chat_keywords WHERE {MONTH} AND category_id <> 11 GROUP BY query_text""",
     "all_default_flag": with_(EV, KW)
     + f"""SELECT query_text, SUM(CASE WHEN category_id = 11 THEN 1 ELSE 0 END) = COUNT(*) AS all_default
 FROM admin_chat_keywords WHERE {MONTH} GROUP BY query_text""",
@@ -651,3 +646,25 @@ FROM asked a JOIN ruled r ON a.input_text = r.input_text
 JOIN admin_categories c ON (a.input_text LIKE '오류%' AND c.category_name = r.category_name)
   OR (a.input_text NOT LIKE '오류%' AND c.category_name IN ('학생 생활', '기타'))""",
 }
+
+
+# --- the report as printed: a line of titles and values for each row of each sheet ---------
+
+
+def printed(sheet: str, query: str, *values: str) -> str:
+    name, titles = fv.SHEET_TITLES[sheet]
+    cells = ", ".join(f"{lit(t + '=')} || COALESCE(CAST({v} AS VARCHAR), '')" for t, v in zip(titles, values))
+    return f"SELECT {lit(name)} AS sheet, concat_ws(' | ', {cells}) AS line FROM ({ORACLE[query]})"
+
+
+_SHORT = "CASE WHEN length(query_text) > 100 THEN query_text[1:100] || '...' ELSE query_text END"
+ORACLE["report_titled_sheets"] = " UNION ALL ".join(
+    [
+        printed("main", "report_rows", "query_text", "keyword", "category_name", "query_count", "created_at"),
+        printed("by_category", "report_by_category", "category_name", "record_count", "total_queries", "unique_keywords"),
+        printed("by_day", "report_by_day", "date", "record_count", "unique_questions", "total_queries", "unique_keywords"),
+        printed("top_keywords", "report_top_keywords", "keyword", "record_count", "total_queries"),
+        printed("top_questions", "report_top_questions", _SHORT, "query_count", "keywords"),
+        printed("overview", "report_overview_sheet", "item", "value"),
+    ]
+)

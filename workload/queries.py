@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qlens.config import KEYWORDS
 from qlens.functions import dates, text, validation
 from qlens.functions.responses import parse_responses
 from qlens.operators import classify, gaps, ledger, lookup, questions, report, summary
@@ -39,7 +41,7 @@ def scan_chats(spark, d):
 
 @query
 def scan_keywords(spark, d):
-    return v.keywords(spark, d)
+    return v.keywords(spark, d).select(*KEYWORDS)
 
 
 @query
@@ -59,7 +61,7 @@ def day_spine(spark, d):
 
 @query
 def loaded_on_(spark, d):
-    return loaded_on(v.keywords(spark, d), SECOND_LOAD)
+    return loaded_on(v.keywords(spark, d), SECOND_LOAD).select(*KEYWORDS)
 
 
 @query
@@ -156,7 +158,7 @@ def classify_summary_week(spark, d):
 
 @query
 def category_lookup(spark, d):
-    return lookup.with_category_name(v.keywords(spark, d), v.categories(spark))
+    return lookup.with_category_name(v.keywords(spark, d).select(*KEYWORDS), v.categories(spark))
 
 
 # --- gaps and coverage -------------------------------------------------------
@@ -301,6 +303,18 @@ def report_placeholder(spark, d):
     return full.withColumn("sheet", F.lit("full")).unionByName(none.withColumn("sheet", F.lit("empty")))
 
 
+@query
+def report_titled_sheets(spark, d):
+    """The six sheets under their printed names and titles, a line for each row."""
+
+    def lines(name, sheet):
+        cells = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))) for c in sheet.columns]
+        return sheet.select(F.lit(name).alias("sheet"), F.concat_ws(" | ", *cells).alias("line"))
+
+    sheets = report.report_sheets(kept(_rows(spark, d)), PERIOD)
+    return reduce(DataFrame.unionByName, (lines(name, sheet) for name, sheet in sheets.items()))
+
+
 @query
 def report_ellipsis(spark, d):
     return v.texts(spark, d).select("id", text.ellipsis("text", 100).alias("shown"))
@@ -362,7 +376,7 @@ def complete_run_(spark, d):
 
 @query
 def reject_split(spark, d):
-    good, bad = classify.split_rejects(v.keywords(spark, d))
+    good, bad = classify.split_rejects(v.keywords(spark, d).select(*KEYWORDS))
     return good.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(bad)
 
 
