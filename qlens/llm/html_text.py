@@ -57,7 +57,7 @@ BESIDE = 240
 SAME_PARENT = 120
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>?""", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -79,31 +79,40 @@ class Block:
     heading: bool
 
 
-def opinion(tag: str, attributes: str, parent: Element) -> tuple[int, bool]:
-    """What an element says about its text: 1, -1, or its parent's opinion; and whether it is hidden."""
-    named: set[str] = set()
+def named(attributes: str) -> tuple[set[str], bool]:
+    """The words of an element's class, id and role, and whether it is hidden."""
+    words: set[str] = set()
     hidden = False
-    if attributes:
-        for m in ATTRIBUTE.finditer(attributes):
-            key, value = m[1].lower(), (m[2] or "").strip("\"'")
-            if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-                hidden = True
-            elif key == "style":
-                hidden |= "display:none" in value.replace(" ", "").lower()
-            elif key != "aria-hidden":
-                named.update(w.lower() for w in NAME_WORD.findall(value))
-    if tag in ("nav", "aside", "form", "menu", "search", "dialog") or named & AGAINST:
+    for m in ATTRIBUTE.finditer(attributes):
+        key, value = m[1].lower(), (m[2] or "").strip("\"'")
+        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
+            hidden = True
+        elif key == "style":
+            hidden |= "display:none" in value.replace(" ", "").lower()
+        elif key != "aria-hidden":
+            words.update(w.lower() for w in NAME_WORD.findall(value))
+    return words, hidden
+
+
+def opinion(tag: str, attributes: str, parent: Element, trusting: bool) -> tuple[int, bool]:
+    """What an element says about its text: 1, -1, or its parent's opinion; and whether it is hidden."""
+    words, hidden = named(attributes)
+    if tag in ("nav", "aside", "form", "menu", "search", "dialog") or words & AGAINST:
         return -1, hidden
-    if tag in ("header", "footer") or "header" in named:
+    if tag in ("header", "footer") or "header" in words:
         return (1 if tag != "footer" and parent.in_article else -1), hidden
-    if tag in ("article", "main") or named & FOR:
+    if tag in ("article", "main") or words & FOR:
         # an article inside a comment or a list of related ones stays what that is
-        return (-1 if parent.opinion < 0 and tag != "main" and parent.in_article else 1), hidden
+        return (-1 if parent.opinion < 0 and tag != "main" and not trusting else 1), hidden
     return parent.opinion, hidden
 
 
-def blocks(html: str) -> list[Block]:
-    """Text blocks in page order: character references decoded, white space turned into single blanks, empty ones left out."""
+def blocks(html: str, trusting: bool = False) -> list[Block]:
+    """Text blocks in page order: character references decoded, white space turned into single blanks, empty ones left out.
+
+    ``trusting`` believes what speaks for content even inside what speaks
+    against it, as on a page whose advert is never closed.
+    """
     out: list[Block] = []
     numbers = 0
     stack = [Element("", 0, 0, False, False)]
@@ -147,7 +156,10 @@ def blocks(html: str) -> list[Block]:
             heading = tag in HEADINGS and not ends
             links = links if tag == "br" else 0
         elif tag not in UNSEEN and tag not in CONTROLS:
-            continue
+            # an element within a line counts only where it speaks against its text
+            if (ends and stack[-1].tag != tag) or not (ends or named(m[3])[0] & AGAINST):
+                continue
+            close()
         if tag in VOID:
             continue
         if ends:
@@ -163,10 +175,11 @@ def blocks(html: str) -> list[Block]:
         elif stack[-1].tag == "head" and tag not in UNSEEN:  # a head that was never closed
             stack.pop()
         parent = stack[-1]
-        said, hidden = opinion(tag, m[3], parent)
+        said, hidden = opinion(tag, m[3], parent, trusting)
         numbers += 1
         unseen = parent.unseen or hidden or tag in UNSEEN or tag in CONTROLS
-        stack.append(Element(tag, numbers, said, parent.in_article or tag == "article", unseen))
+        inside = parent.in_article or tag == "article" or said > parent.opinion
+        stack.append(Element(tag, numbers, said, inside, unseen))
     close()
     return out
 
@@ -269,10 +282,11 @@ def minimum_cut(odds: list[int], joined: list[tuple[int, int, int]]) -> list[boo
 
 def main_text(html: str) -> str:
     """The content blocks, joined by line feeds; empty if there are none."""
-    row = blocks(html)
-    if not row:
-        return ""
-    kept = minimum_cut([costs(b) for b in row], edges(row))
+    for trusting in (False, True):
+        row = blocks(html, trusting)
+        kept = minimum_cut([costs(b) for b in row], edges(row)) if row else []
+        if any(kept):
+            break
     return "\n".join(b.text for b, keep in zip(row, kept) if keep)
 
 

@@ -44,6 +44,22 @@ def test_without_names():
     assert [t[:7] for t in h.main_text(page).split("\n")] == ["A long ", "Brief.", "A long "]
 
 
+def test_articles_inside_what_is_not_content():
+    story = "<article><h1>The story</h1><p>Its only paragraph is right here, for all to read.</p></article>"
+    card = "<article><h2>Another story</h2><p>A few words about another story on this site.</p></article>"
+    wanted = ["The story", "Its only paragraph is right here, for all to read."]
+    assert h.main_text(f"{story}<section class=related>{card}</section><aside>{card}</aside>").split("\n") == wanted
+    assert h.main_text(f"<div class=ad>Buy this thing now.{story}").split("\n") == wanted  # an advert without an end
+    assert h.main_text("<nav><a href=a>Home</a></nav><div class=ad>Buy this thing now.</div><footer>The end.</footer>") == ""
+    headed = '<div class="post"><div class="post-header"><h1>Title</h1></div><p>The text of the post is here.</p></div>'
+    assert h.main_text(f"<div class=header>The site</div>{headed}").split("\n") == ["Title", "The text of the post is here."]
+
+
+def test_elements_within_a_line():
+    page = '<article><p>Some <b class="text">bold</b> words.</p><p>More <i>of</i> them <span class="ad">buy now</span></p></article>'
+    assert h.main_text(page).split("\n") == ["Some bold words.", "More of them"]
+
+
 def test_odd_html():
     for html in ("", "   ", "<", "<p", "<p class='x", "<!--", "<script>x", "&#x0;&bogus;", "<a href=\"x>y</a>", "</p></div>", "<div>" * 3000 + "x"):
         assert isinstance(h.main_text(html), str)
