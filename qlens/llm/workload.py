@@ -86,9 +86,50 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), cache)
 
 
+def words_of(texts: dict[str, str]) -> str:
+    """License templates as DuckDB rows: template number, label, list of words."""
+    rows = (f"({n}, '{label}', string_split('{words}', ' '))" for n, (words, label) in enumerate(texts.items()))
+    return ", ".join(rows)
+
+
 # Without an entry: 1 to 3, 5 to 7, 9 and 10 need a tokenizer, a trained model, XXH64, a flow or rolling hashes.
 ORACLE = {
-    "op4_license_scan": None,
+    "op4_license_scan": f"""
+        WITH texts AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'),
+                                              '{licenses.WORD}') AS w FROM documents),
+        phrases(template, label, p) AS (VALUES {words_of(licenses.PHRASES)}),
+        notices(template, label, p) AS (VALUES {words_of(licenses.NOTICES)}),
+        places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM texts),
+        base AS (
+            SELECT doc_id, label, i - 1 AS start FROM places, phrases WHERE w[i] = p[1] AND w[i : i + len(p) - 1] = p),
+        grams AS (
+            SELECT template, label, len(p) - {licenses.NOTICE_GRAM - 1} AS n, i - 1 AS spot, p[i : i + {licenses.NOTICE_GRAM - 1}] AS gram
+            FROM (SELECT *, unnest(range(1, len(p) - {licenses.NOTICE_GRAM - 2})) AS i FROM notices)),
+        hits AS (
+            SELECT doc_id, template, label, n, spot, i - 1 AS pos, i - 1 - spot AS diagonal
+            FROM places JOIN grams ON gram = w[i : i + {licenses.NOTICE_GRAM - 1}]),
+        steps AS (
+            SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS gap FROM hits),
+        bands AS (
+            SELECT *, count(*) FILTER (gap IS NULL OR gap > {licenses.SHIFT}) OVER (
+                PARTITION BY doc_id, template ORDER BY diagonal) AS band FROM steps),
+        spans AS (
+            SELECT doc_id, any_value(label) AS label, count(DISTINCT spot) / any_value(n) AS score
+            FROM bands GROUP BY doc_id, template, band
+            HAVING count(DISTINCT spot) / any_value(n) >= {licenses.SHARE}
+               AND max(pos) + {licenses.NOTICE_GRAM} - min(pos) <= {licenses.STRETCH} * (any_value(n) + {licenses.NOTICE_GRAM - 1})),
+        found AS (
+            SELECT doc_id, label, start, 1.0 :: DOUBLE AS score FROM base UNION ALL SELECT doc_id, label, NULL, score FROM spans),
+        sums AS (
+            SELECT doc_id, count(start) AS n_base, min(start) AS first_word, max(start) AS last_word,
+                   string_agg(DISTINCT label, ',' ORDER BY label) FILTER (start IS NOT NULL) AS base_labels,
+                   string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+            FROM found GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+        FROM texts LEFT JOIN sums USING (doc_id)
+    """,
     "op8_sharding": f"""
         WITH owners AS (
             SELECT unnest(string_split('{",".join(map(str, sharding.lookup_table()))}', ',')) :: INT AS owner,
@@ -98,4 +139,3 @@ ORACLE = {
           ON owners.slot = ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15)) :: BIGINT % {sharding.SLOTS}
     """,
 }
-ORACLE = {name: sql for name, sql in ORACLE.items() if sql}

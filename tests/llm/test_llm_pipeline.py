@@ -44,11 +44,12 @@ def test_contract_columns(spark, name):
         assert out.count() == 200
 
 
-def test_sharding_against_sql(spark):
+@pytest.mark.parametrize("name", sorted(workload.ORACLE))
+def test_against_sql(spark, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
-    expected = con.execute(workload.ORACLE["op8_sharding"]).fetchall()
-    assert rows(workload.QUERIES["op8_sharding"](spark, SF)) == sorted(expected, key=repr)
+    expected = con.execute(workload.ORACLE[name]).fetchall()
+    assert rows(workload.QUERIES[name](spark, SF)) == sorted(expected, key=repr)
 
 
 @pytest.fixture
