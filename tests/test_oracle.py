@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, on the smallest given tables."""
+"""Every registered query of the chat tables against its SQL, on the smallest given tables."""
 
 import inspect
 
@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame
 
 import __spark_entry__ as entry_module
 from workload.compare import connect, difference
+from workload.oracle import ORACLE as SQL
+from workload.queries import REGISTRY as QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +34,11 @@ def test_entry(spark):
     assert df.count() > 0
 
 
+def test_entry_registers_them():
+    assert QUERIES.items() <= entry_module.queries().items() and SQL.items() <= entry_module.oracle_sql().items()
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
 def test_queries_take_session_and_folder():
-    for fn in QUERIES.values():
+    for fn in entry_module.queries().values():
         assert len(inspect.signature(fn).parameters) == 2
