@@ -286,10 +286,11 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
     rows without an id stay only if their whole group has none.
     """
     groups = near_duplicates(docs, shingle, max_bits)
-    stays = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")).distinct()
-    rows = docs.select(whole_row(docs), F.col("doc_id").cast("bigint").alias("id"))
-    left = rows.join(stays, rows["id"].eqNullSafe(stays["stays"]), "left_semi")
-    return left.groupBy("id").agg(F.min("row").alias("row")).select("row.*")
+    # as text a null id has a key of its own, and one shuffle of the rows by it serves both the join and the aggregate
+    key = F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("")).alias("key")
+    stays = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key).distinct()
+    left = docs.select(whole_row(docs), key).join(stays, "key", "left_semi")
+    return left.groupBy("key").agg(F.min("row").alias("row")).select("row.*")
 
 
 travels(__name__)
