@@ -12,31 +12,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from qlens.llm import decontaminate, language, packing, quality, simhash
-from qlens.storage import kept
+from qlens.llm.common import small_batches
+from qlens.storage import kept, scratch
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told."""
+    small_batches(spark)
     return language.keep_identified(docs)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are likely enough good, learned from the labels of this stage's documents."""
+    small_batches(spark)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id."""
+    small_batches(spark)
     return simhash.one_per_group(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    small_batches(spark)
     return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces and their places in sequences."""
+    small_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -53,10 +59,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what lies between them is deleted at the end."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = kept(stage(spark, docs, sf_dir))
-    return docs
+    *stages, (_, last) = STAGES
+    with scratch(spark) as keep:
+        for _, stage in stages:
+            docs = keep(stage(spark, docs, sf_dir))
+        return kept(last(spark, docs, sf_dir))
 
 
 QUERIES = {"pipeline": run}

@@ -7,10 +7,11 @@ from collections.abc import Callable, Hashable
 from typing import TypeVar
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 T = TypeVar("T")
+BATCH_ROWS = 2_000
 
 
 def travels(module: str) -> None:
@@ -34,16 +35,28 @@ def whole_row(docs: DataFrame, alias: str = "row") -> Column:
 
 
 def per_worker(key: Hashable, make: Callable[[], T]) -> T:
-    """An object kept by the Python worker from task to task; only for what doesn't alter results."""
-    held = sys.__dict__.setdefault("_qlens_held", {})
-    if key not in held:
-        held[key] = make()
-    return held[key]
-
+    """An object kept by the Python worker from task to task; only for what doesn't alter results.
 
-def input_partitions(df: DataFrame) -> int:
-    """How many tasks read ``df``, known without running it."""
-    return max(1, df.rdd.getNumPartitions())
+    The two used last stay, so that a worker that serves many stages doesn't
+    gather what all of them have made.
+    """
+    held = sys.__dict__.setdefault("_qlens_held", {})
+    found = held.pop(key) if key in held else make()
+    held[key] = found
+    while len(held) > 2:
+        del held[next(iter(held))]
+    return found
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """For an application, before it calls these operators: Arrow batches of at most ``rows`` rows in this session.
+
+    Spark's own 10,000 rows of whole texts would take the memory of several
+    tasks, in the JVM and again in Python.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
 
 
 travels(__name__)

@@ -191,7 +191,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, blo
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, block_characters: int = BLOCK_CHARACTERS) -> DataFrame:
-    """``docs`` with all columns, without the rows that hold an item of ``benchmark``."""
+    """``docs`` with all columns, without the rows that hold an item of ``benchmark``.
+
+    Null and empty texts stay, as they hold nothing; repeated rows stay or go
+    together; without items everything stays.
+    """
 
     def without(rows: DataFrame, block: Callable[[], Matcher]) -> DataFrame:
         @F.pandas_udf("boolean")

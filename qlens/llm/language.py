@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qlens.llm.common import id_remainder, per_worker, text_or_empty, travels, whole_row
+from qlens.llm.common import id_remainder, per_worker, travels, whole_row
 
 # What is fitted is bounded: whole texts, in hash order, until a dictionary is full.
 DICTIONARY_BYTES = 256 << 10
@@ -107,7 +107,12 @@ def predictor(spark, dictionaries: list[tuple[str, bytes]]):
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """``docs`` with all columns, without the rows whose language can't be told."""
+    """``docs`` with all columns, without the rows whose language can't be told.
+
+    Null, empty and letterless texts go; repeated rows stay or go together.
+    Learned from all of ``docs`` that have text and lang; if none has, or
+    ``docs`` is empty, nothing stays.
+    """
     predict = predictor(docs.sparkSession, fit(docs))
     rows = docs.select(whole_row(docs), predict(F.col("text")).alias("p"))
     return rows.filter((F.col("p.lang") != UNKNOWN) & (F.col("p.margin") >= MIN_MARGIN)).select("row.*")

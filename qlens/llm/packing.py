@@ -24,9 +24,9 @@ from qlens.llm.common import per_worker, text_or_empty, travels
 from qlens.storage import kept
 
 CAPACITY = 4096
-CACHED_WORDS = 500_000
+CACHED_WORDS = 400_000
 LONG_WORD = 64
-SLICE = 6 << 20
+SLICE = 4 << 20
 # A part of a text by line: letters that lower-casing and composition keep letters and then punctuation
 # that stays one token group (so no apostrophe), or anything else.
 PARTS = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.MULTILINE)

@@ -92,7 +92,7 @@ def features(text: str | None, declared: float | None, hashed: dict[str, int]) -
     for w in counts:
         k = hashed.get(w)
         if k is None:
-            if len(hashed) > 300_000:
+            if len(hashed) > 100_000:
                 hashed.clear()
             k = hashed[w] = crc32(w.encode()) % WORD_BUCKETS
         ids.append(k)
@@ -221,7 +221,11 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with all columns, without the rows that score below ``THRESHOLD``."""
+    """``docs`` with all columns, without the rows that score below ``THRESHOLD``.
+
+    Learned from all labels of ``docs``. Null and empty texts are scored like
+    any other; repeated rows stay or go together; an empty table stays empty.
+    """
     score = scorer(docs.sparkSession, fit(docs, labels))
     declared = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double")
     rows = docs.select(whole_row(docs), score(text_or_empty(), declared).alias("s"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -20,14 +21,22 @@ from qlens.llm import (
     token_counts,
     winnowing,
 )
+from qlens.llm.common import small_batches
 from qlens.storage import checkpoint_dir, join_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    """Registers a query under its function's name."""
+
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -134,3 +134,19 @@ def test_empty_documents(spark, make_docs, tmp_path):
     spark.read.parquet(f"{SF}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
     spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_workers_keep_the_last_two_objects(monkeypatch):
+    import sys
+
+    from qlens.llm.common import per_worker
+
+    monkeypatch.setitem(sys.__dict__, "_qlens_held", {})
+    made = []
+
+    def get(key):
+        return per_worker(key, lambda: made.append(key) or key)
+
+    for key in "aabaccab":
+        assert get(key) == key
+    assert made == ["a", "b", "c", "b"]
