@@ -100,16 +100,13 @@ def spans(docs: DataFrame) -> DataFrame:
     a row. A notice needs ``SHARE`` of its k-grams on neighbouring diagonals,
     close enough together; ``score`` is that share.
     """
-    found = votes(docs)
-    verbatim = found.filter(F.col("phrase") & (F.size("found") == F.col("grams"))).select(
-        "doc_id", "body", "label", "phrase", F.col("diagonal").alias("start"),
-        (F.col("diagonal") + F.col("grams") + F.col("k") - 1).alias("end"), F.lit(1.0).alias("score"),
-    )
     by_template = Window.partitionBy("doc_id", "body", "template").orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(by_template)
-    banded = (
-        found.filter(~F.col("phrase"))
-        .withColumn("band", (gap.isNull() | (gap > SHIFT)).cast("int"))
+    score, length = F.col("n") / F.col("grams"), F.col("end") - F.col("start")
+    close = length <= STRETCH * (F.col("grams") + F.col("k") - 1)
+    return (
+        votes(docs)
+        .withColumn("band", (F.col("phrase") | gap.isNull() | (gap > SHIFT)).cast("int"))
         .withColumn("band", F.sum("band").over(by_template))
         .groupBy("doc_id", "body", "template", "label", "phrase", "k", "grams", "band")
         .agg(
@@ -117,11 +114,9 @@ def spans(docs: DataFrame) -> DataFrame:
             F.min("first").alias("start"),
             (F.max("last") + F.first("k")).alias("end"),
         )
-        .withColumn("score", F.col("n") / F.col("grams"))
+        .filter(F.when(F.col("phrase"), F.col("n") == F.col("grams")).otherwise((score >= SHARE) & close))
+        .select("doc_id", "body", "label", "phrase", "start", "end", score.alias("score"))
     )
-    close = (F.col("end") - F.col("start")) <= STRETCH * (F.col("grams") + F.col("k") - 1)
-    changed = banded.filter((F.col("score") >= SHARE) & close).select("doc_id", "body", "label", "phrase", "start", "end", "score")
-    return verbatim.unionByName(changed)
 
 
 def scan(docs: DataFrame) -> DataFrame:
