@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qlens.llm.common import text_or_empty, travels, whole_row
@@ -64,17 +64,17 @@ def simhash(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and ``bits``, the fingerprint as a signed long; a null text counts as empty."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, beside: tuple[Column, ...] = ()) -> DataFrame:
+    """doc_id and ``bits``, the fingerprint as a signed long; a null text counts as empty. ``beside`` are further longs to carry along."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *beside, text_or_empty().alias("text"))
+    names = [*rows.columns[:-1], "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = np.array([simhash(t, shingle) for t in batch.column("text").to_pylist()], dtype="<u8")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits.view("<i8"))], ["doc_id", "bits"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(bits.view("<i8"))], names)
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(
-        run, "doc_id bigint, bits bigint"
-    )
+    return rows.mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
 
 # --- vantage-point tree ------------------------------------------------------
@@ -261,6 +261,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 # --- the operator ------------------------------------------------------------
 
 
+def rooted(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """``distinct`` with the ``root`` of each of its ``bits``, equal within a group of near-duplicates."""
+    roots = components(links(distinct, max_bits))
+    return distinct.join(roots, distinct["bits"] == roots["node"], "left").select(*distinct.columns, F.coalesce("root", "bits").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id linked, by whatever chain) of every row.
 
@@ -269,11 +275,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     component_id unless no linked row has an id.
     """
     prints = kept(fingerprints(docs, shingle))
-    distinct = kept(prints.groupBy("bits").agg(F.min("doc_id").alias("first")))
-    roots = components(links(distinct, max_bits))
-    rooted = distinct.join(roots, distinct["bits"] == roots["node"], "left").select("bits", "first", F.coalesce("root", "bits").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    found = rooted.join(lowest, "root").select("bits", "component_id")
+    groups = rooted(kept(prints.groupBy("bits").agg(F.min("doc_id").alias("first"))), max_bits)
+    lowest = groups.groupBy("root").agg(F.min("first").alias("component_id"))
+    found = groups.join(lowest, "root").select("bits", "component_id")
     return prints.join(found, "bits").select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
@@ -282,15 +286,20 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with all columns, one row for each group of near-duplicates: the one with the smallest doc_id.
 
-    Rows that share that id are ordered by their columns and the first stays;
-    rows without an id stay only if their whole group has none.
+    A row without an id stays only if its whole group has none. Rows of a group
+    that share the id, or have none, are ordered by a hash of their texts, those
+    of the same text by their columns, and the first stays.
     """
-    groups = near_duplicates(docs, shingle, max_bits)
-    # as text a null id has a key of its own, and one shuffle of the rows by it serves both the join and the aggregate
+    # 128 bits, for among rows without an id nothing else tells texts apart
+    hashes = (F.xxhash64(text_or_empty()).alias("h"), F.xxhash64(F.lit(SEED), text_or_empty()).alias("h2"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "h2")).alias("first")
+    groups = rooted(kept(fingerprints(docs, shingle, hashes).groupBy("bits").agg(first)), max_bits)
+    # as text a null id has a key of its own
     key = F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("")).alias("key")
-    stays = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key).distinct()
-    left = docs.select(whole_row(docs), key).join(stays, "key", "left_semi")
-    return left.groupBy("key").agg(F.min("row").alias("row")).select("row.*")
+    stays = groups.groupBy("root").agg(F.min("first").alias("first")).select("first.*").select(key, "h", "h2")
+    # rows of the same id and text are one before the shuffle, and its partitions serve the join
+    rows = docs.select(whole_row(docs), key, *hashes).groupBy("key", "h", "h2").agg(F.min("row").alias("row"))
+    return rows.join(stays, ["key", "h", "h2"], "left_semi").select("row.*")
 
 
 travels(__name__)

@@ -128,6 +128,19 @@ def test_documents(documents, make_docs):
         assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted(stay, key=repr)
 
 
+def test_kept_texts_by_group(make_docs):
+    far = ["one two three four", "five six seven eight", "nine ten eleven twelve"]
+    docs = make_docs(
+        (None, "a b c d"), (7, "A b\tc d"), (9, "a b c d"),  # a group with ids
+        (None, "alone here"), (None, far[0]), (None, far[0]), (None, far[0].upper()),  # two groups without
+        (4, far[1]), (4, far[2]), (4, far[2]),  # one id on two unrelated texts
+        (None, None), (None, ""), (11, " "),
+        extra="h h2 key row first root bits",
+    )
+    kept = sorted(((r.doc_id, (r.text or "").lower()) for r in simhash.one_per_group(docs).collect()), key=repr)
+    assert kept == sorted([(7, "a b\tc d"), (None, "alone here"), (None, far[0]), (4, far[1]), (4, far[2]), (11, " ")], key=repr)
+
+
 def test_empty_table(make_docs):
     assert simhash.near_duplicates(make_docs()).collect() == []
     assert simhash.one_per_group(make_docs()).collect() == []
