@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 
 from qlens.llm.common import id_remainder, per_worker, travels, whole_row
 
-# What is fitted is bounded: whole texts, in hash order, until a dictionary is full.
+# What is fitted is bounded: distinct texts, in hash order, until a dictionary is full.
 DICTIONARY_BYTES = 256 << 10
 ALL_DICTIONARIES_BYTES = 64 << 20
-OVERSAMPLE = 4
+OVERSAMPLE = 4  # so many times the dictionary's bytes are looked at, for letters are fewer
 BLOCK = 4_096
 LEVEL = 6
 MIN_MARGIN = 0.01
@@ -40,25 +40,48 @@ def letters(text: str) -> str:
 def fit(docs: DataFrame, learn: Column | None = None, dictionary_bytes: int = DICTIONARY_BYTES) -> list[tuple[str, bytes]]:
     """(language, dictionary) pairs, the most frequent language first, from rows with text and lang for which ``learn`` holds.
 
-    Only a sample of about ``OVERSAMPLE`` times the dictionary size is ordered
-    and cut for each language. Many languages share ``ALL_DICTIONARIES_BYTES``.
+    Each language's distinct texts are taken in hash order until their letters
+    fill the dictionary or none is left; only so many of the smallest hashes
+    are ordered as hold ``OVERSAMPLE`` times its bytes, and of a longer text
+    only the beginning. Many languages share ``ALL_DICTIONARIES_BYTES``.
     """
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text"), (F.lit(True) if learn is None else learn).alias("use"))
-    rows = rows.filter(F.col("use") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
-    known = sizes.orderBy(F.col("n").desc(), "lang").collect()  # one row per language
+    rows = rows.filter(F.col("use") & F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("h", F.xxhash64("text"))
+    # half of all hashes have 64 bits, a quarter 63, and so on
+    rows = rows.withColumn("width", F.when(F.col("h") == 0, 0).otherwise(F.length(F.bin("h"))))
+    distinct = rows.groupBy("lang", "width", "h").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).alias("bytes"))
+    widths = distinct.groupBy("lang", "width").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    found: dict[str, list] = {}
+    for r in widths.orderBy("lang", "width").collect():  # at most 65 rows per language
+        found.setdefault(r["lang"], []).append(r)
+    known = sorted(found, key=lambda lang: (-sum(r["n"] for r in found[lang]), lang))
     if not known:
         return []
     share = max(1, min(dictionary_bytes, ALL_DICTIONARIES_BYTES // len(known)))
-    hashed = rows.join(F.broadcast(sizes), "lang").withColumn("h", F.xxhash64("text"))
-    wanted = F.least(F.lit(1.0), F.lit(float(share * OVERSAMPLE)) / F.col("bytes"))
-    sample = hashed.filter(F.pmod("h", F.lit(1_000_000)) < F.ceil(wanted * 1_000_000)).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    upto = []
+    for lang in known:
+        held = 0
+        for r in found[lang]:
+            held += r["bytes"]
+            if held >= share * OVERSAMPLE:
+                break
+        upto.append((lang, r["width"]))
+
+    @F.pandas_udf("binary")
+    def cleaned(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: letters(t).encode()[:share])
+
+    limits = F.broadcast(docs.sparkSession.createDataFrame(upto, "lang string, upto int"))
+    wanted = rows.join(limits, "lang").filter("width <= upto")
+    # copies are one before the shuffle
+    sample = wanted.groupBy("lang", "h").agg(F.min(F.substring("text", 1, share * OVERSAMPLE)).alias("text"))
+    pieces = sample.select("lang", "h", cleaned("text").alias("piece"))
     before = Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
-    taken = sample.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0))).filter(F.col("before") < share)
-    texts: dict[str, list[bytes]] = {r["lang"]: [] for r in known}
-    for r in taken.select("lang", "text").orderBy("lang", F.col("h").desc()).collect():
-        texts[r["lang"]].append(letters(r["text"]).encode())
-    return [(lang, b" ".join(own)[-share:]) for lang, own in texts.items() if own]
+    taken = pieces.withColumn("before", F.coalesce(F.sum(F.octet_length("piece")).over(before), F.lit(0))).filter(F.col("before") < share)
+    texts: dict[str, list[bytes]] = {lang: [] for lang in known}
+    for r in taken.select("lang", "piece").orderBy("lang", F.col("h").desc()).collect():  # under twice ``share`` per language
+        texts[r["lang"]].append(bytes(r["piece"]))
+    return [(lang, b" ".join(own)[-share:]) for lang, own in texts.items()]
 
 
 class Sizes:

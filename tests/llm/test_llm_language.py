@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from conftest import rows
@@ -58,6 +59,21 @@ def test_dictionary_is_bounded_and_holds_whole_texts(documents):
     assert all(len(d) <= 2000 for d in found.values())
 
 
+def test_long_texts_and_copies_fill_their_dictionaries(spark, make_docs):
+    def words(seed, n):
+        rng = random.Random(seed)
+        return " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+
+    copies = spark.range(3000).selectExpr("id AS doc_id", f"'{words(0, 300)}' AS text", "'copies' AS lang")
+    few = [(5000 + k, words(k, 10) + " 12. " * 20, "copies") for k in range(1, 9)]
+    docs = make_docs(*few, (6000, words(9, 60_000), "long"), (6001, "ab cd", "tiny")).select("doc_id", "text", "lang").unionByName(copies)
+    for size in (500, 2000):
+        found = dict(language.fit(docs, dictionary_bytes=size))
+        assert {lang: len(d) for lang, d in found.items()} == {"copies": size, "long": size, "tiny": 5}
+    whole = dict(language.fit(docs))["copies"].decode()
+    assert all(language.letters(t).strip() in whole for t in (words(0, 300), *[words(k, 10) for k in range(1, 9)]))
+
+
 def test_stage_keeps_columns_and_drops_rejected(make_docs):
     docs = corpus(make_docs, extra="p row lang_pred")
     kept = language.keep_identified(docs)
