@@ -43,6 +43,12 @@ AGAINST = frozenset(
     " navigation breadcrumb breadcrumbs pagination pager toolbar footer contentinfo masthead copyright legal disclaimer share sharing social related"
     " recommended recommendations comment comments reply replies respond discussion disqus form tags".split()
 )
+# Names that begin so say what a page has, lacks or is filed under, not what the element is.
+MODIFIERS = frozenset("has have with without no not category tag".split())
+# Against an article only if they say what it is; its other names are about what surrounds it.
+KINDS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion comment reply related recommended widget".split())
+# Within a line these are not the author's words, the others may be part of a sentence.
+ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion".split())
 
 # The classifier's weights, in hundredths of log-odds.
 BIAS = -60
@@ -50,12 +56,17 @@ PER_DOUBLING = 40  # of the words in a block
 LINKED = -500  # times the linked share of its characters
 INSIDE = 500  # an element that speaks for content
 OUTSIDE = -900  # an element that speaks against it
+WITHIN = -300  # an element within a line that speaks against it, other than an advert
 HEADING = 60
 SENTENCE = 80  # ends like a sentence
 # Smoothness: of blocks beside each other, divided by their distance in the tree, and of blocks with the same parent.
 BESIDE = 240
 SAME_PARENT = 120
+# Of an element within a line and the rest of the line; the second where a sentence runs on from one to the other.
+ASIDE = 240
+RUNS_ON = 480
 
+ENDS = ".!?\"'”»…"
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>?""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -68,6 +79,8 @@ class Element:
     opinion: int  # of the nearest element that has one: 1 for content, -1 against
     in_article: bool
     unseen: bool
+    within: int = 0  # the number of the outermost element within the line that speaks against its text, if any
+    advert: bool = False  # whether that is an advert
 
 
 @dataclass
@@ -77,11 +90,15 @@ class Block:
     path: tuple[int, ...]
     opinion: int
     heading: bool
+    line: int  # the blocks of one line are the elements within it that speak against their text, and its rest
+    pieces: list[tuple[int, str]]  # its text as it stands in the line, with places
+    tied: int = 0  # to the rest of the line, if this is an element within it
+    advert: bool = False
 
 
-def named(attributes: str) -> tuple[set[str], bool]:
-    """The words of an element's class, id and role, and whether it is hidden."""
-    words: set[str] = set()
+def named(attributes: str) -> tuple[list[list[str]], bool]:
+    """The words of each name in an element's class, id and role, without modifiers, and whether it is hidden."""
+    names: list[list[str]] = []
     hidden = False
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or "").strip("\"'")
@@ -90,18 +107,44 @@ def named(attributes: str) -> tuple[set[str], bool]:
         elif key == "style":
             hidden |= "display:none" in value.replace(" ", "").lower()
         elif key != "aria-hidden":
-            words.update(w.lower() for w in NAME_WORD.findall(value))
-    return words, hidden
+            for name in value.split():
+                words = [w.lower() for w in NAME_WORD.findall(name)]
+                if words and (len(words) == 1 or words[0] not in MODIFIERS):
+                    names.append(words)
+    return names, hidden
+
+
+def speaks(names: list[list[str]], trusting: bool = False) -> int:
+    """1 if a name speaks for content, or else -1 if one speaks against it, or else 0.
+
+    A name with words of both kinds speaks against; if ``trusting``, its last such word counts.
+    """
+    said = 0
+    for words in names:
+        known = [w for w in words if w in FOR or w in AGAINST or w == "header"]
+        if known and (known[-1] in FOR if trusting else FOR.issuperset(known)):
+            return 1
+        if not AGAINST.isdisjoint(known):
+            said = -1
+    return said
 
 
 def opinion(tag: str, attributes: str, parent: Element, trusting: bool) -> tuple[int, bool]:
     """What an element says about its text: 1, -1, or its parent's opinion; and whether it is hidden."""
-    words, hidden = named(attributes)
-    if tag in ("nav", "aside", "form", "menu", "search", "dialog") or words & AGAINST:
+    names, hidden = named(attributes)
+    said = speaks(names, trusting)
+    if tag in ("html", "body"):
+        said = max(said, 0)  # nothing stands outside of them
+    elif tag == "main":
+        said = 1
+    elif tag == "article":
+        said = 1 if said >= 0 or trusting or not any(not KINDS.isdisjoint(words) for words in names) else -1
+    if tag in ("nav", "aside", "form", "menu", "search", "dialog") or said < 0:
         return -1, hidden
-    if tag in ("header", "footer") or "header" in words:
-        return (1 if tag != "footer" and parent.in_article else -1), hidden
-    if tag in ("article", "main") or words & FOR:
+    if tag in ("header", "footer") or (said == 0 and any("header" in words for words in names)):
+        # the header of an article that is not content isn't either
+        return (1 if tag != "footer" and parent.in_article and (parent.opinion >= 0 or trusting) else -1), hidden
+    if said > 0:
         # an article inside a comment or a list of related ones stays what that is
         return (-1 if parent.opinion < 0 and tag != "main" and not trusting else 1), hidden
     return parent.opinion, hidden
@@ -114,20 +157,41 @@ def blocks(html: str, trusting: bool = False) -> list[Block]:
     against it, as on a page whose advert is never closed.
     """
     out: list[Block] = []
-    numbers = 0
+    numbers = lines = 0
     stack = [Element("", 0, 0, False, False)]
-    parts: list[str] = []
-    linked = links = 0
+    parts: list[tuple[str, int, Element]] = []  # text, how much of it is linked, and where it stands
+    links = 0
     heading = False
 
     def close() -> None:
-        nonlocal linked
-        if parts:
-            text = " ".join("".join(parts).split())
-            if text:
-                out.append(Block(text, min(linked, len(text)), tuple(e.number for e in stack), stack[-1].opinion, heading))
-            parts.clear()
-        linked = 0
+        nonlocal lines
+        if not parts:
+            return
+        lines += 1
+        own: dict[int, Block] = {0: Block("", 0, tuple(e.number for e in stack), stack[-1].opinion, heading, lines, [])}
+        for place, (text, linked, element) in enumerate(parts):
+            if element.within not in own:
+                path = (*own[0].path, element.within)
+                own[element.within] = Block("", 0, path, -1, heading, lines, [], ASIDE, element.advert)
+            block = own[element.within]
+            block.pieces.append((place, text))
+            block.linked += linked
+        parts.clear()
+        for block in own.values():
+            block.text = joined_text(block.pieces)
+            block.linked = min(block.linked, len(block.text))
+        line = own.pop(0)
+        if line.text:
+            out.append(line)
+        for block in own.values():
+            if block.text:
+                before = joined_text([p for p in line.pieces if p[0] < block.pieces[0][0]])
+                after = joined_text([p for p in line.pieces if p[0] > block.pieces[-1][0]])
+                if not line.text:
+                    block.tied = 0
+                elif (before and before[-1] not in ENDS) or (after and not (after[0].isupper() or block.text[-1] in ENDS)):
+                    block.tied = RUNS_ON
+                out.append(block)
 
     at, size = 0, len(html)
     while at < size:
@@ -136,9 +200,7 @@ def blocks(html: str, trusting: bool = False) -> list[Block]:
         if end > at and not stack[-1].unseen:
             raw = html[at:end]
             text = unescape(raw) if "&" in raw else raw
-            parts.append(text)
-            if links:
-                linked += len(" ".join(text.split()))
+            parts.append((text, len(" ".join(text.split())) if links else 0, stack[-1]))
         if not m:
             break
         at = m.end()
@@ -157,9 +219,8 @@ def blocks(html: str, trusting: bool = False) -> list[Block]:
             links = links if tag == "br" else 0
         elif tag not in UNSEEN and tag not in CONTROLS:
             # an element within a line counts only where it speaks against its text
-            if (ends and stack[-1].tag != tag) or not (ends or named(m[3])[0] & AGAINST):
+            if (ends and stack[-1].tag != tag) or not (ends or speaks(named(m[3])[0], trusting) < 0):
                 continue
-            close()
         if tag in VOID:
             continue
         if ends:
@@ -179,11 +240,25 @@ def blocks(html: str, trusting: bool = False) -> list[Block]:
         numbers += 1
         unseen = parent.unseen or hidden or tag in UNSEEN or tag in CONTROLS
         inside = parent.in_article or tag == "article" or said > parent.opinion
-        stack.append(Element(tag, numbers, said, inside, unseen))
+        if tag in BLOCK or tag in UNSEEN or tag in CONTROLS:
+            within, advert = 0, False
+        else:
+            within = parent.within or numbers
+            advert = parent.advert or parent.opinion < 0 or any(not ADVERTS.isdisjoint(words) for words in named(m[3])[0])
+        stack.append(Element(tag, numbers, said, inside, unseen, within, advert))
     close()
     return out
 
 
+def joined_text(pieces: list[tuple[int, str]]) -> str:
+    """Pieces of a line with single blanks for white space and for what is left out between them."""
+    out, next_place = [], None
+    for place, text in sorted(pieces):
+        out.append(text if place == next_place else " " + text)
+        next_place = place + 1
+    return " ".join("".join(out).split())
+
+
 # --- labelling ---------------------------------------------------------------
 
 
@@ -191,10 +266,13 @@ def costs(block: Block) -> int:
     """The classifier: positive speaks for content, negative for boilerplate."""
     words = block.text.count(" ") + 1
     odds = BIAS + PER_DOUBLING * words.bit_length()
-    odds += int(LINKED * block.linked / len(block.text))
-    odds += INSIDE if block.opinion > 0 else OUTSIDE if block.opinion < 0 else 0
+    if block.tied and not block.advert:
+        odds += WITHIN
+    else:
+        odds += int(LINKED * block.linked / len(block.text))
+        odds += INSIDE if block.opinion > 0 else OUTSIDE if block.opinion < 0 else 0
     odds += HEADING if block.heading else 0
-    odds += SENTENCE if block.text[-1] in ".!?\"'”»…" else -SENTENCE // 2
+    odds += SENTENCE if block.text[-1] in ENDS else -SENTENCE // 2
     return odds
 
 
@@ -281,13 +359,22 @@ def minimum_cut(odds: list[int], joined: list[tuple[int, int, int]]) -> list[boo
 
 
 def main_text(html: str) -> str:
-    """The content blocks, joined by line feeds; empty if there are none."""
+    """The content blocks, joined by line feeds; empty if there are none.
+
+    What is tied to its line goes with it, or is left out where that is cheaper;
+    it doesn't take the line with it.
+    """
     for trusting in (False, True):
         row = blocks(html, trusting)
-        kept = minimum_cut([costs(b) for b in row], edges(row)) if row else []
+        own = [b for b in row if not b.tied]
+        kept = minimum_cut([costs(b) for b in own], edges(own)) if own else []
         if any(kept):
             break
-    return "\n".join(b.text for b, keep in zip(row, kept) if keep)
+    lines = {b.line: b.pieces for b, keep in zip(own, kept) if keep}
+    for b in row:
+        if b.tied and b.line in lines and costs(b) + b.tied > 0:
+            lines[b.line] = lines[b.line] + b.pieces
+    return "\n".join(map(joined_text, lines.values()))
 
 
 # --- on Spark ----------------------------------------------------------------

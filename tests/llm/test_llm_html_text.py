@@ -60,6 +60,28 @@ def test_elements_within_a_line():
     assert h.main_text(page).split("\n") == ["Some bold words.", "More of them"]
 
 
+def test_names_on_the_article_itself():
+    body = "<header><h1>The story</h1></header><p>Its only paragraph is right here, for all to read.</p><p>Brief.</p>"
+    wanted = ["The story", "Its only paragraph is right here, for all to read.", "Brief."]
+    for tag, names in (
+        ("article", "post has-comments"), ("article", "post category-social"), ("article", "sidebar-right"), ("article", "has-header"),
+        ("main", "content with-sidebar"), ("main", "search"), ("article", "post comments social"), ("div", "content no-sidebar tag-search"),
+        ("div", "post-content share"),
+    ):
+        page = f'<body class="single has-sidebar search"><nav><a href=a>Home</a></nav><{tag} class="{names}">{body}</{tag}><div class="ad">Buy this thing now.</div></body>'
+        got = h.main_text(page).split("\n")
+        assert got == (wanted if tag == "article" else wanted[-len(got):]) and len(got) >= 2, (tag, names, got)
+    comment = '<article class="comment"><header>Somebody</header><p>I have learned so much from reading this, thank you!</p></article>'
+    assert h.main_text(f"<article>{body}</article>{comment}").split("\n") == wanted
+
+
+def test_sentence_with_an_element_that_speaks_against():
+    page = '<article><p>Type into the <span class="search">search</span> box, <b class="form">then</b>: <i id=tags>go</i>.</p><p>More words <span class="ad">buy now</span> here.</p></article>'
+    assert h.main_text(page).split("\n") == ["Type into the search box, then: go.", "More words here."]
+    assert h.main_text('<article><p>All is said.<span class="share">Share this</span></p></article>') == "All is said."
+    assert h.main_text('<p>Use the <span class="search">search</span> box to find more of them.</p>') == "Use the search box to find more of them."
+
+
 def test_odd_html():
     for html in ("", "   ", "<", "<p", "<p class='x", "<!--", "<script>x", "&#x0;&bogus;", "<a href=\"x>y</a>", "</p></div>", "<div>" * 3000 + "x"):
         assert isinstance(h.main_text(html), str)
