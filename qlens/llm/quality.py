@@ -151,13 +151,16 @@ def fit_model(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, see
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample_rows: int = SAMPLE_ROWS) -> dict:
     """The model of at most ``sample_rows`` labelled rows for which ``learn`` (over the labels' doc_id) holds.
 
+    Of rows that share an id one is learned from, the first by a hash of its text.
     Rows without a label or an id are left out; without any row the model
     gives every document the same even score.
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
     known = known.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).filter(F.lit(True) if learn is None else learn)
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample_rows)
-    rows = inputs(docs).withColumnRenamed("doc_id", "id").join(F.broadcast(sample), F.col("id") == F.col("doc_id"))
+    found = inputs(docs).withColumnRenamed("doc_id", "id").join(F.broadcast(sample.select("doc_id")), F.col("id") == F.col("doc_id"), "left_semi")
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "declared")).alias("first")
+    rows = found.groupBy("id").agg(first).join(F.broadcast(sample), F.col("id") == F.col("doc_id")).select("doc_id", "quality", "first.text", "first.declared")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed: dict[str, int] = {}
@@ -174,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample_
             )
 
     schema = "doc_id bigint, quality double, ids array<int>, vals array<float>"
-    taken = rows.select("doc_id", "quality", "text", "declared").mapInArrow(run, schema).toArrow().sort_by("doc_id")
+    taken = rows.mapInArrow(run, schema).toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")])
     found = [
         (np.asarray(i.values.to_numpy(zero_copy_only=False)), np.asarray(v.values.to_numpy(zero_copy_only=False)))
         for i, v in zip(taken.column("ids"), taken.column("vals"))

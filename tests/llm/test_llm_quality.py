@@ -85,6 +85,15 @@ def test_sample_is_bounded(spark, documents, monkeypatch):
     assert seen == [10]
 
 
+def test_one_row_of_a_repeated_id_is_learned_from(spark, make_docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit_model", lambda found, y: seen.append((len(found), sorted(y))))
+    docs = make_docs(*[(1, f"text {k} of one id") for k in range(50)], (2, "another text"), (2, None), (3, "no label"), (None, "no id"))
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (9, 1)], "doc_id bigint, quality int")
+    quality.fit(docs, labels)
+    assert seen == [(2, [0, 1])]
+
+
 def test_empty_tables(spark, make_docs):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert quality.score_documents(make_docs(), none).collect() == []
