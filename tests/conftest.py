@@ -1,12 +1,13 @@
 import os
 import sys
-from datetime import datetime
 
 import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from helpers import schema, ts  # noqa: E402
+
 from qlens.config import CATEGORIES, CHATS, KEYWORDS  # noqa: E402
 from qlens.functions.fixed_values import CATEGORY_NAMES  # noqa: E402
 
@@ -29,14 +30,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def schema(columns):
-    return ", ".join(f"{n} {t}" for n, t in columns.items())
-
-
-def ts(text):
-    return datetime.fromisoformat(text)
-
-
 @pytest.fixture(scope="session")
 def make_chats(spark):
     def make(*rows):
@@ -61,7 +54,3 @@ def make_keywords(spark):
 @pytest.fixture(scope="session")
 def categories(spark):
     return spark.createDataFrame(list(enumerate(CATEGORY_NAMES, 1)), schema(CATEGORIES))
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

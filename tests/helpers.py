@@ -1,0 +1,15 @@
+"""Helpers of the chat tests."""
+
+from datetime import datetime
+
+
+def schema(columns):
+    return ", ".join(f"{n} {t}" for n, t in columns.items())
+
+
+def ts(text):
+    return datetime.fromisoformat(text)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -4,7 +4,7 @@ import sys
 from datetime import date, datetime
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from qlens.operators import classify as c

@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from qlens.operators import gaps
 from qlens.period import Period

@@ -1,6 +1,6 @@
 from datetime import date, datetime
 
-from conftest import rows
+from helpers import rows
 
 from qlens.operators import ledger
 from qlens.period import Period

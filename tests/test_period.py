@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from qlens.period import SHORTCUTS, Period, data_day_spine, day_spine, in_period, loaded_on, loaded_since, shortcut_table

@@ -4,7 +4,7 @@ from datetime import datetime
 import duckdb
 import pandas as pd
 import pytest
-from conftest import rows, schema
+from helpers import rows, schema
 
 from qlens.config import KEYWORDS
 from qlens.operators import lookup, summary
