@@ -17,7 +17,3 @@ def make_docs(spark):
 @pytest.fixture(scope="session")
 def documents(spark):
     return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-
-
-def rows(df, *columns):
-    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr)

@@ -1,6 +1,6 @@
 import random
 
-from conftest import rows
+from llm_helpers import rows
 
 from qlens.llm import decontaminate as d
 

@@ -3,7 +3,7 @@ import random
 import re
 from html import unescape
 
-from conftest import rows
+from llm_helpers import rows
 
 from qlens.llm import html_text as h
 

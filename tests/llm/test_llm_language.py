@@ -1,7 +1,7 @@
 import random
 import zlib
 
-from conftest import rows
+from llm_helpers import rows
 
 from qlens.llm import language
 

@@ -2,7 +2,7 @@ import random
 import re
 
 import pytest
-from conftest import rows
+from llm_helpers import rows
 
 from qlens.llm import licenses
 

@@ -3,7 +3,7 @@ import random
 import duckdb
 import public_tokenizers
 import pytest
-from conftest import rows
+from llm_helpers import rows
 from tokenizers import Tokenizer
 
 import corpus_pipeline

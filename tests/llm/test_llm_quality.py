@@ -2,7 +2,7 @@ import itertools
 import zlib
 
 import numpy as np
-from conftest import rows
+from llm_helpers import rows
 
 from qlens.llm import quality
 

@@ -1,7 +1,7 @@
 import public_tokenizers
 import pytest
 import sentencepiece
-from conftest import rows
+from llm_helpers import rows
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
