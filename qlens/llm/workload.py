@@ -11,14 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from qlens.llm import (
     decontaminate,
+    hard_negatives,
     html_text,
     language,
     licenses,
+    mixing,
     packing,
     quality,
     sharding,
     simhash,
     token_counts,
+    whitening,
     winnowing,
 )
 from qlens.llm.common import small_batches
@@ -95,13 +98,29 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), cache)
 
 
+@query
+def op11_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_entropy_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_embedding_whitening(spark, sf_dir):
+    return whitening.whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def words_of(texts: dict[str, str]) -> str:
     """License templates as DuckDB rows: template number, label, list of words."""
     rows = (f"({n}, '{label}', string_split('{words}', ' '))" for n, (words, label) in enumerate(texts.items()))
     return ", ".join(rows)
 
 
-# Without an entry: 1 to 3, 5 to 7, 9 and 10 need a tokenizer, a trained model, XXH64, a flow or rolling hashes.
+# Without an entry: 1 to 3, 5 to 7, 9, 10, 12 and 13 need a tokenizer, a trained model, XXH64, a flow, rolling hashes,
+# Newton's method or eigenvectors.
 ORACLE = {
     "op4_license_scan": f"""
         WITH texts AS (
@@ -139,6 +158,26 @@ ORACLE = {
                coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
         FROM texts LEFT JOIN sums USING (doc_id)
     """,
+    "op11_hard_negatives": f"""
+        WITH vectors AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda c: floor(256 * c :: DOUBLE)) AS x
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        scored AS (
+            SELECT DISTINCT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same, list_dot_product(a.x, c.x) :: BIGINT AS score
+            FROM vectors a JOIN vectors c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+        positives AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= {hard_negatives.POSITIVES})
+        SELECT anchor_id, positive_id,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) :: INT AS rank,
+               id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND {hard_negatives.LOW} * positive_score <= 100 * score AND 100 * score <= {hard_negatives.HIGH} * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= {hard_negatives.NEGATIVES}
+    """,
     "op8_sharding": f"""
         WITH owners AS (
             SELECT unnest(string_split('{",".join(map(str, sharding.lookup_table()))}', ',')) :: INT AS owner,

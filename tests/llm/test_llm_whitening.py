@@ -1,0 +1,104 @@
+import numpy as np
+import pytest
+from llm_helpers import rows
+
+from qlens.llm import whitening, workload
+
+SF = "/root/testdata/sf0.001"
+
+
+def spectra():
+    rng = np.random.default_rng(1)
+    turn = np.linalg.qr(rng.normal(size=(40, 40)))[0]
+    yield np.cov(rng.normal(size=(500, 40)).T)
+    yield np.eye(40) * 5
+    yield np.diag(np.r_[np.ones(9) * 3, np.ones(31)])  # the cut goes through equal eigenvalues
+    yield np.cov((rng.normal(size=(500, 3)) @ rng.normal(size=(3, 40))).T)  # rank 3
+    yield np.diag(10.0 ** -np.arange(40))
+    yield turn @ np.diag(np.r_[1e6, np.ones(9) * 5 + 1e-12 * np.arange(9), np.ones(30)]) @ turn.T
+    yield turn @ np.diag(np.r_[np.ones(20) * 5 + 1e-9 * rng.normal(size=20), np.ones(20)]) @ turn.T
+    yield np.array([[2.0]])
+    yield np.diag([1.0, 0.0])
+
+
+@pytest.mark.parametrize("v", list(spectra()))
+def test_leading_against_dense(v):
+    v = (v + v.T) / 2
+    values, vectors = whitening.leading(v, 8)
+    expected = np.linalg.eigvalsh(v)[::-1][:8]
+    assert len(values) == (expected > 1e-12 * expected[0]).sum()
+    assert np.allclose(values, expected[: len(values)], rtol=1e-9, atol=1e-13 * expected[0])
+    assert np.abs(vectors.T @ vectors - np.eye(len(values))).max() < 1e-11
+    assert np.abs(v @ vectors - vectors * values).max() < 1e-12 * np.abs(v).max() * 100
+
+
+def test_inertia_counts():
+    rng = np.random.default_rng(2)
+    v = np.cov(rng.normal(size=(100, 12)).T)
+    form = whitening.tridiagonal(v)
+    for shift in rng.uniform(0, 2, 50):
+        assert whitening.above(form, shift) == (np.linalg.eigvalsh(v) > shift).sum()
+
+
+def test_a_missed_eigenvalue_is_noticed(monkeypatch):
+    v = np.diag(np.arange(20.0) + 1)
+    real = whitening.intervals
+    monkeypatch.setattr(whitening, "intervals", lambda form, wanted, low, high: real(form, wanted, low, high)[1:] + [(0.5, 8.5, 8)])
+    with pytest.raises(ArithmeticError):
+        whitening.leading(v, 8)
+
+
+def brute(x, k=8):
+    """Deviations in Python integers, the rest from numpy's eigenvectors up to their signs."""
+    n, sums = len(x), [sum(c) for c in zip(*x)]
+    deviation = [sum((n * a - s) ** 2 for a, s in zip(row, sums)) for row in x]
+    centred = np.array([[(n * a - s) / n for a, s in zip(row, sums)] for row in x])
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
+    return deviation, centred @ vectors / np.sqrt(values), values / np.trace(centred.T @ centred / n)
+
+
+def test_given_embeddings_against_brute_force(spark):
+    table = spark.read.parquet(f"{SF}/embeddings.parquet")
+    found = workload.QUERIES["op13_embedding_whitening"](spark, SF).toPandas().sort_values(["vec_id", "component"])
+    data = sorted((r.vec_id, [int(np.floor(1024 * c)) + 100_000 for c in r.embedding]) for r in table.collect())
+    deviation, whitened, explained = brute([x for _, x in data])
+    assert len(found) == 8 * len(data) and set(found.n) == {len(data)}
+    assert found.deviation.tolist() == [d for d in deviation for _ in range(8)]
+    own = found.whitened.to_numpy().reshape(-1, 8)
+    assert np.allclose(np.abs((own * whitened).sum(axis=0)) / len(data), 1, atol=1e-9)
+    assert np.allclose(np.abs(own), np.abs(whitened), atol=1e-6)
+    assert np.allclose(found.explained.to_numpy().reshape(-1, 8), explained)
+    assert found.identity_error.nunique() == 1 and 0 <= found.identity_error.max() < 1e-9
+
+
+def test_rows_left_out_and_defined_cases(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [(1, [0.1, 0.2, 0.3]), (2, [0.5, 0.1, 0.0]), (2, [0.5, 0.1, 0.0]), (None, [0.0, 0.9, 0.4]), (5, [0.3, 0.3, 0.1])]
+    bad = [(6, None), (7, [0.1, None, 0.2]), (8, [nan, 0.1, 0.2]), (9, [inf, 0.1, 0.2]), (10, [0.1]), (11, []), (12, [1e30, 0.0, 0.0])]
+    df = spark.createDataFrame([(*r, "x") for r in good + bad], "vec_id bigint, embedding array<double>, n string").repartition(3)
+    found = whitening.whiten_embeddings(df).toPandas()
+    assert len(found) == 3 * len(good) and set(found.n) == {5} and found.vec_id.isna().sum() == 3
+    x = [[int(np.floor(1024 * c)) + 100_000 for c in v] for _, v in good]
+    deviation, whitened, explained = brute(x)
+    assert sorted(found.deviation) == sorted(d for d in deviation for _ in range(3))
+    assert np.allclose(sorted(found.whitened.abs()), sorted(np.abs(whitened).ravel()))
+    assert found.identity_error.max() < 1e-9
+
+
+@pytest.mark.parametrize("data", [[], [(1, None)], [(1, [0.5, 0.5])] * 3, [(1, [])]])
+def test_nothing_to_whiten(spark, data):
+    df = spark.createDataFrame(data, "vec_id bigint, embedding array<float>")
+    assert rows(whitening.whiten_embeddings(df)) == []
+
+
+def test_fewer_components_than_asked(spark):
+    data = [(k, [float(k), 2.0 * k, 1.0]) for k in range(10)]
+    found = whitening.whiten_embeddings(spark.createDataFrame(data, "vec_id bigint, embedding array<float>")).toPandas()
+    assert set(found.component) == {1} and np.isclose(found.explained.max(), 1)
+
+
+def test_deviation_past_63_bits_is_null(spark):
+    data = [(1, [float(1 << 40)]), (2, [0.0]), (3, [0.0])]
+    found = whitening.whiten_embeddings(spark.createDataFrame(data, "vec_id bigint, embedding array<double>"))
+    assert [r.deviation for r in found.collect()] == [None, None, None]
