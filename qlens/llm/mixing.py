@@ -16,7 +16,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from qlens.llm.common import text_or_empty, travels
@@ -27,7 +27,7 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 WORD = r"[^\x20\x09-\x0D]+"
 ROUNDS = 100
-TOLERANCE = 1e-9
+TOLERANCE = 1e-7
 # Documents of one source and size are numbered in so many slices of their ids' hash, each in a task of its own.
 SLICES = 4096
 # Rows of one id, source and size that one row stands for are written out in pieces of so many.
@@ -80,14 +80,13 @@ def with_targets(sources: DataFrame, most: int) -> DataFrame:
 # --- the dual ----------------------------------------------------------------
 
 
-def rate(most: int) -> Column:
-    """The rate of documents of ``size`` at ``tilt``; the exponent is cut first, so it can't overflow."""
-    limit = math.log(most)
-    return F.when(F.col("tilt") * F.col("size") >= limit, F.lit(float(most))).otherwise(F.exp(F.col("tilt") * F.col("size")))
+def rate(most: int) -> str:
+    """SQL of the rate of documents of ``size`` at ``tilt``; the exponent is cut first, so it can't overflow."""
+    return f"IF(tilt * size >= {math.log(most)!r}D, {float(most)}D, exp(tilt * size))"
 
 
 def tilts(classes: DataFrame, sources: DataFrame, most: int, keep, rounds: int = ROUNDS) -> DataFrame:
-    """``sources`` (key, words, target, shortest) with ``tilt``, the root of the dual's gradient.
+    """``sources`` (key, words, target, docs, shortest) with ``tilt``, the root of the dual's gradient.
 
     ``classes`` (key, size, n) are the documents. Each round sums words at the
     present rates, and the slope of that, over all classes; a Newton step on
@@ -95,46 +94,50 @@ def tilts(classes: DataFrame, sources: DataFrame, most: int, keep, rounds: int =
     would leave it. Sums are decimal, so that they don't depend on the order of
     addition and reruns agree.
     """
-    ratio = F.col("target") / F.col("words")
-    state = sources.select(
+    limit = f"{math.log(most)!r}D"
+    state = sources.selectExpr(
         "key",
         "target",
-        (F.least(F.lit(0.0), F.log(ratio)) / F.col("shortest")).alias("low"),
-        (F.lit(math.log(most)) / F.col("shortest")).alias("high"),
+        "least(0D, ln(target / words)) / shortest AS low",
+        f"{limit} / shortest AS high",
         # where every document is needed as often as can be, the upper end is the root
-        F.when(ratio >= most * (1 - 1e-12), F.lit(math.log(most)) / F.col("shortest")).otherwise(F.log(ratio) * F.col("docs") / F.col("words")).alias("tilt"),
-        (ratio >= most * (1 - 1e-12)).alias("done"),
-    )
-    state = keep(state.withColumn("tilt", F.least(F.greatest("tilt", "low"), "high")))
-    exact = "decimal(38,6)"
+        f"target >= {most * (1 - 1e-12)!r}D * words AS done",
+        f"IF(target >= {most * (1 - 1e-12)!r}D * words, {limit} / shortest, ln(target / words) * docs / words) AS tilt",
+    ).selectExpr("key", "target", "low", "high", "least(greatest(tilt, low), high) AS tilt", "done")
     for _ in range(rounds):
-        if not state.filter(~F.col("done")).limit(1).count():
+        # counted while it is written
+        seen = Observation()
+        state = keep(state.observe(seen, F.count_if(~F.col("done")).alias("open")))
+        if not seen.get["open"]:
             break
-        words = F.col("n") * F.col("size") * rate(most)
-        slope = F.when(F.col("tilt") * F.col("size") < math.log(most), words * F.col("size")).otherwise(0.0)
         sums = (
-            classes.join(state.filter(~F.col("done")).select("key", "tilt"), "key")
+            classes.join(state.filter("NOT done").select("key", "tilt"), "key")
+            .selectExpr("key", f"n * size * {rate(most)} AS words", f"IF(tilt * size < {limit}, size, 0) AS by")
             .groupBy("key")
-            .agg(F.sum(words.cast(exact)).cast("double").alias("words"), F.sum(slope.cast(exact)).cast("double").alias("slope"))
+            .agg(
+                F.expr("double(sum(CAST(words AS DECIMAL(38, 6)))) AS words"),
+                F.expr("double(sum(CAST(words * by AS DECIMAL(38, 6)))) AS slope"),
+            )
         )
-        found = state.join(sums, "key", "left")
-        near = F.abs(F.col("words") - F.col("target")) <= TOLERANCE * F.col("target")
-        low = F.when(F.col("words") < F.col("target"), F.col("tilt")).otherwise(F.col("low"))
-        high = F.when(F.col("words") > F.col("target"), F.col("tilt")).otherwise(F.col("high"))
-        step = F.col("tilt") + F.when(F.col("slope") > 0, F.col("words") / F.col("slope") * F.log(F.col("target") / F.col("words")))
-        moved = found.select("key", "target", "tilt", "done", near.alias("near"), low.alias("low"), high.alias("high"), step.alias("step"))
-        inside = (F.col("step") > F.col("low")) & (F.col("step") < F.col("high"))
-        middle = (F.col("low") + F.col("high")) / 2
-        stuck = (middle <= F.col("low")) | (middle >= F.col("high"))
-        stays = F.col("done") | F.col("near")
-        state = keep(
-            moved.select(
+        state = (
+            state.join(sums, "key", "left")
+            .selectExpr(
+                "key",
+                "target",
+                "tilt",
+                f"done OR abs(words - target) <= {TOLERANCE!r}D * target AS stays",
+                "IF(words < target, tilt, low) AS low",
+                "IF(words > target, tilt, high) AS high",
+                "tilt + IF(slope > 0, words / slope * ln(target / words), NULL) AS step",
+            )
+            .selectExpr("*", "(low + high) / 2 AS middle")
+            .selectExpr(
                 "key",
                 "target",
                 "low",
                 "high",
-                F.when(stays, F.col("tilt")).when(inside, F.col("step")).otherwise(middle).alias("tilt"),
-                (stays | stuck).alias("done"),
+                "CASE WHEN stays THEN tilt WHEN step > low AND step < high THEN step ELSE middle END AS tilt",
+                "stays OR middle <= low OR middle >= high AS done",
             )
         )
     return sources.join(state.select("key", "tilt"), "key", "left")
@@ -179,7 +182,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
         weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("no") % len(weights) + 1).cast("int"))
         sources = keep(with_targets(keep(sources.withColumn("weight", weight)), most))
         tilted = tilts(classes.filter("size > 0"), sources.filter("words > 0"), most, keep)
-        rated = classes.filter("size > 0").join(tilted.select("key", "tilt"), "key").select("key", "size", "n", F.round(rate(most), 9).alias("rate"))
+        rated = classes.filter("size > 0").join(tilted.select("key", "tilt"), "key").select("key", "size", "n", F.expr(f"round({rate(most)}, 9) AS rate"))
 
         def whole(frame: pd.DataFrame) -> pd.DataFrame:
             # a source of w words has at most sqrt(2 w) sizes
