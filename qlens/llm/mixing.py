@@ -29,7 +29,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 ROUNDS = 100
 TOLERANCE = 1e-7
 # Documents of one source and size are numbered in so many slices of their ids' hash, each in a task of its own.
-SLICES = 4096
+SLICES = 256
 # Rows of one id, source and size that one row stands for are written out in pieces of so many.
 PIECE = 1 << 16
 
