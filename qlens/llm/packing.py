@@ -10,7 +10,6 @@ then numbers the pieces of each length and looks up their places.
 
 from __future__ import annotations
 
-import re
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -25,11 +24,13 @@ from qlens.storage import kept
 
 CAPACITY = 4096
 CACHED_WORDS = 400_000
+CACHED_IDS = 1 << 22
 LONG_WORD = 64
-SLICE = 4 << 20
-# A part of a text by line: letters that lower-casing and composition keep letters and then punctuation
-# that stays one token group (so no apostrophe), or anything else.
-PARTS = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.MULTILINE)
+SLICE = 8 << 20
+# Letters that lower-casing and composition keep letters, and punctuation that stays one token group behind
+# them (so no apostrophe).
+LETTERS = "".join(map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))
+MARKS = "".join(map(chr, [*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
 
 
 # --- pieces ------------------------------------------------------------------
@@ -39,15 +40,17 @@ class WordEncoder:
     """Token ids of texts, encoding each word once.
 
     For tokenizers that split at white space and drop it: a text's ids are
-    those of its parts between blanks and line feeds, and Arrow reduces the
-    parts of a batch to the distinct ones. Plain words are encoded many to a
+    those of its parts between blanks and line feeds. Arrow reduces the parts
+    of a slice to the distinct ones, and those to lower-case words and the
+    marks behind them, so that what is left for Python is one look-up for each
+    distinct word. Plain words are encoded many to a
     call and told apart by the vocabulary's word-end mark, past the steps that
     find words; this is tried out first and left alone where it doesn't give
-    the same ids. Anything else is a call of its own. The cache has two
-    halves; when the young one is full, the old one goes.
+    the same ids. Anything else is a call of its own. Ids lie in one array, a
+    word's at the number it has in ``slots``; all is dropped when it is full.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int = 1):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,8 +67,8 @@ class WordEncoder:
         self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         trial = "a the word tokenizer ärger naïve éèêëçñößü x unbelievably zzzzq".split()
         self.by_words = bool(suffix) and self.plain(trial) == self.direct(trial)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.end_id = end_id
+        self.forget()
 
     def direct(self, parts: list[str], at_once: int = 500) -> list[bytes]:
         out: list[bytes] = []
@@ -85,49 +88,55 @@ class WordEncoder:
             out += [raw[i:j] for i, j in zip([0, *stops], stops)]
         return out
 
-    def learn(self, parts: list[str]) -> list[bytes]:
-        if not self.by_words:
-            return self.direct(parts)
-        cut = PARTS.findall("\n".join(parts))
-        words = [w.lower() for w, _, _ in cut]
-        known = {"": b""}
-        for w in set(words):
-            if (ids := self.recall(w)) is not None:
-                known[w] = ids
-        new = list(set(words).difference(known))
-        known.update(zip(new, self.plain(new)))
-        whole = list({tail or other for _, tail, other in cut})
-        rest = dict(zip(whole, self.direct(whole)))
-        return [known[w] + rest[tail or other] for w, (_, tail, other) in zip(words, cut)]
-
-    def recall(self, part: str) -> bytes | None:
-        ids = self.young.get(part)
-        return self.old.get(part) if ids is None else ids
-
-    def distinct(self, parts: list[str]) -> list[bytes]:
-        """Ids of distinct parts as little-endian unsigned 32-bit integers."""
-        if len(self.young) > CACHED_WORDS // 2:
-            self.young, self.old = {}, self.young
-        found = list(map(self.recall, parts))
-        unseen = [w for w, ids in zip(parts, found) if ids is None]
-        if unseen:
-            new = iter(self.learn(unseen))
-            found = [next(new) if ids is None else ids for ids in found]
-        self.young.update((w, ids) for w, ids in zip(parts, found) if len(w) <= LONG_WORD)
-        return found
-
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts one after the other, where each text's end)."""
+    def forget(self) -> None:
+        """Slot 0 has no ids, slot 1 the end id."""
+        self.slots: dict[str, int] = {"": 0}
+        self.ids = np.array([self.end_id], dtype="<u4")
+        self.stops = np.array([0, 0, 1], dtype=np.int32)  # a slot's ids end where the next one's begin
+
+    def find(self, parts: list[str], encode) -> np.ndarray:
+        """The slots of distinct parts; those not known are encoded."""
+        found = list(map(self.slots.get, parts))
+        new = [k for k, slot in enumerate(found) if slot is None]
+        if new:
+            first, ids = len(self.stops) - 1, encode([parts[k] for k in new])
+            sizes = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids)) // 4
+            self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(ids), dtype="<u4")))
+            self.stops = np.concatenate((self.stops, self.stops[-1] + np.cumsum(sizes, dtype=np.int32)))
+            for slot, k in enumerate(new, first):
+                found[k] = slot
+                if len(parts[k]) <= LONG_WORD:
+                    self.slots[parts[k]] = slot
+        return np.array(found, dtype=np.int32)
+
+    def slots_of(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Two slots for each distinct part: its word and the marks behind it, or all of it and nothing."""
+        first, second = np.zeros(len(parts), dtype=np.int32), np.zeros(len(parts), dtype=np.int32)
+        words = pc.utf8_rtrim(parts, MARKS)
+        split = pc.match_substring_regex(words, f"^[{LETTERS}]+$") if self.by_words else pa.array(np.zeros(len(parts), bool))
+        at = split.to_numpy(zero_copy_only=False)
+        for out, where, own, encode in (
+            (first, at, pc.utf8_lower(words.filter(split)), self.plain),
+            (second, at, pc.utf8_ltrim(parts.filter(split), LETTERS), self.direct),
+            (first, ~at, parts.filter(pc.invert(split)), self.direct),
+        ):
+            named = own.dictionary_encode()
+            out[where] = self.find(named.dictionary.to_pylist(), encode)[named.indices.to_numpy()]
+        return first, second
+
+    def __call__(self, texts: pa.Array, ended: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, where each text's end); if ``ended``, the end id stands behind each text's."""
+        if len(self.slots) > CACHED_WORDS or len(self.ids) > CACHED_IDS:
+            self.forget()
         parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         places = parts.flatten().dictionary_encode()
-        each = self.distinct(places.dictionary.to_pylist())
-        sizes = np.fromiter((len(b) // 4 for b in each), dtype=np.int64, count=len(each))
-        ids = np.frombuffer(b"".join(each), dtype="<u4")
-        part = places.indices.to_numpy()
-        ends = np.concatenate(([0], np.cumsum(sizes[part])))
-        first = np.cumsum(sizes) - sizes
-        at = np.arange(ends[-1]) + np.repeat(first[part] - ends[:-1], sizes[part])
-        return ids[at], ends[parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()]
+        pairs = np.stack((*self.slots_of(places.dictionary),), axis=1).ravel()
+        halves = pa.ListArray.from_arrays(pa.array(self.stops), pa.array(self.ids)).take(pa.array(np.append(pairs, (0, 0, 1, 0))))
+        each = pa.ListArray.from_arrays(pa.array(halves.offsets.to_numpy()[::2]), halves.flatten())
+        last = parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()
+        # an empty part or the end id behind each text
+        found = each.take(pa.array(np.insert(places.indices.to_numpy(), last, len(each) - (1 if ended else 2))))
+        return found.flatten().to_numpy(), found.offsets.to_numpy()[last + np.arange(1, len(last) + 1)].astype(np.int64)
 
 
 def slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
@@ -137,6 +146,21 @@ def slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
     yield from zip(starts.tolist(), np.diff([*starts, len(run)]).tolist())
 
 
+def joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together while their texts have less than ``size`` bytes, so that a word is looked up once for all of them."""
+    held: list[pa.RecordBatch] = []
+    total = 0
+    for batch in batches:
+        own = pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
+        if held and total + own > size + size // 4:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+        held.append(batch)
+        total += own
+    if held:
+        yield pa.concat_batches(held)
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 1) -> DataFrame:
     """Documents as token pieces: doc_id, piece, start, length, ids (bytes of little-endian uint32).
 
@@ -146,21 +170,19 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = per_worker(("words", tokenizer_path), lambda: WordEncoder(tokenizer_path))
-        for batch in batches:
+        encode = per_worker(("words", tokenizer_path, end_id), lambda: WordEncoder(tokenizer_path, end_id))
+        for batch in joined(batches, SLICE):
             for at, n in slices(batch.column("text"), SLICE):
-                ids, ends = encode(batch.column("text").slice(at, n))
+                ids, ends = encode(batch.column("text").slice(at, n), ended=True)
                 starts = np.concatenate(([0], ends[:-1]))
-                own = np.full(len(ids) + n, end_id, dtype="<u4")
-                own[np.arange(len(ids)) + np.repeat(np.arange(n), ends - starts)] = ids
-                starts, lengths = starts + np.arange(n), ends - starts + 1
+                lengths = ends - starts
                 count = -(-lengths // capacity)
                 place = np.repeat(np.arange(n), count)
                 piece = np.arange(len(place)) - np.repeat(np.cumsum(count) - count, count)
                 start = piece * capacity
                 length = np.minimum(capacity, lengths[place] - start)
                 begin = starts[place] + start
-                raw = own.tobytes()
+                raw = memoryview(ids).cast("B")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(at, n).take(pa.array(place)),
