@@ -23,10 +23,10 @@ from qlens.llm.common import per_worker, text_or_empty, travels
 from qlens.storage import kept
 
 CAPACITY = 4096
-CACHED_WORDS = 400_000
-CACHED_IDS = 1 << 22
+CACHED_WORDS = 300_000
+CACHED_IDS = 1 << 21
 LONG_WORD = 64
-SLICE = 8 << 20
+SLICE = 4 << 20
 # Letters that lower-casing and composition keep letters, and punctuation that stays one token group behind
 # them (so no apostrophe).
 LETTERS = "".join(map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))
@@ -146,21 +146,6 @@ def slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
     yield from zip(starts.tolist(), np.diff([*starts, len(run)]).tolist())
 
 
-def joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Batches put together while their texts have less than ``size`` bytes, so that a word is looked up once for all of them."""
-    held: list[pa.RecordBatch] = []
-    total = 0
-    for batch in batches:
-        own = pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
-        if held and total + own > size + size // 4:
-            yield pa.concat_batches(held)
-            held, total = [], 0
-        held.append(batch)
-        total += own
-    if held:
-        yield pa.concat_batches(held)
-
-
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 1) -> DataFrame:
     """Documents as token pieces: doc_id, piece, start, length, ids (bytes of little-endian uint32).
 
@@ -171,7 +156,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = per_worker(("words", tokenizer_path, end_id), lambda: WordEncoder(tokenizer_path, end_id))
-        for batch in joined(batches, SLICE):
+        for batch in batches:
             for at, n in slices(batch.column("text"), SLICE):
                 ids, ends = encode(batch.column("text").slice(at, n), ended=True)
                 starts = np.concatenate(([0], ends[:-1]))
