@@ -24,8 +24,8 @@ from qlens.operators.ledger import run_ledger, run_totals
 from qlens.operators.questions import skip_existing, unique_questions_per_day
 from qlens.operators.report import report_rows, report_sheets
 from qlens.period import Period
-from qlens.sources.sinks import append_keywords, append_keywords_table, write_rejects, write_report
-from qlens.sources.tables import is_path, read_keywords, stored_facts
+from qlens.sources.sinks import BATCH_LOAD, store_keywords, write_rejects, write_report
+from qlens.sources.tables import facts_of_other_loads, read_keywords, stored_facts
 from qlens.storage import in_memory, scratch
 
 
@@ -167,13 +167,9 @@ class Workspace:
         """The fact table; empty before the first run."""
         return read_keywords(self.spark, stored_facts(self.spark, self.fact_source, self.cfg), self.cfg, period)
 
-    def _append(self, facts: DataFrame) -> None:
-        if is_path(self.fact_source):
-            append_keywords(facts, self.fact_source, self.cfg)
-        else:
-            append_keywords_table(facts, self.fact_source, self.cfg)
-
-    def _classify_and_append(self, questions: DataFrame, period: Period, loaded: datetime) -> RunResult:
+    def _classify_and_append(
+        self, questions: DataFrame, period: Period, loaded: datetime, load: str | None = None
+    ) -> RunResult:
         with scratch(self.spark) as keep:
             questions = keep(questions.withColumn("input_text", binary("input_text")))
             facts = keep(
@@ -182,22 +178,28 @@ class Workspace:
                 ).select(*KEYWORDS)
             )
             good, bad = split_rejects(facts)
-            self._append(good)
+            mode = "append" if load is None else "replace"
+            store_keywords(good, self.fact_source, self.cfg, mode=mode, load=load or BATCH_LOAD)
             if self.reject_path:
-                write_rejects(bad, self.reject_path)
+                write_rejects(bad, self.reject_path, load)
             ledger = in_memory(run_ledger(questions, good, period, bad))
         return RunResult(ledger, run_totals(ledger))
 
-    def run_batch(self, period: Period, loaded: datetime | None = None, skip_done: bool = True) -> RunResult:
+    def run_batch(
+        self, period: Period, loaded: datetime | None = None, skip_done: bool = True, load: str | None = None
+    ) -> RunResult:
         """Classify and append every question of every day of the period.
 
         ``skip_done`` leaves out (question, day) pairs already in the fact table,
-        which also makes a repeated run harmless.
+        which also makes a repeated run harmless. A run with a name of its own,
+        ``load``, replaces what it wrote when it is repeated, rejected rows
+        too, and leaves out only pairs of other loads.
         """
         questions = unique_questions_per_day(self.chats, period)
         if skip_done:
-            questions = skip_existing(questions, self.facts(period), period)
-        return self._classify_and_append(questions, period, loaded or datetime.now().replace(microsecond=0))
+            stored = self.facts(period) if load is None else facts_of_other_loads(self.spark, self.fact_source, self.cfg, load)
+            questions = skip_existing(questions, stored, period)
+        return self._classify_and_append(questions, period, loaded or datetime.now().replace(microsecond=0), load)
 
     def check_missing(self, period: Period) -> tuple[DataFrame, DataFrame]:
         """(per day, totals) of the coverage of a period."""

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qlens.config import KEYWORDS, SchemaConfig, binary, denormalize
-from qlens.storage import join_path
+from qlens.sources.tables import is_path
+from qlens.storage import join_path, setting
 
 MAX_RECORDS_PER_FILE = 5_000_000
 BATCH_LOAD = "batch"
@@ -45,10 +46,38 @@ def stored_columns(facts: DataFrame, cfg: SchemaConfig = SchemaConfig()) -> Data
     return out.withColumn("created_date", F.to_date(cfg.physical("created_at")))
 
 
-def append_keywords_table(facts: DataFrame, table: str, cfg: SchemaConfig = SchemaConfig()) -> None:
-    """Appends fact rows to a catalog table, matching columns by name."""
-    out = stored_columns(facts, cfg).hint("rebalance", "created_date")
-    out.write.mode("append").partitionBy("created_date").saveAsTable(table)
+def append_keywords_table(
+    facts: DataFrame, table: str, cfg: SchemaConfig = SchemaConfig(), mode: str = "append", load: str = BATCH_LOAD
+) -> None:
+    """Appends fact rows to a catalog table, matching columns by name; the first run creates it.
+
+    ``replace`` overwrites only the partitions (day, load) that have rows
+    again. A table of somebody else's making may lack the load column; then it
+    can be appended to, but not replaced in.
+    """
+    spark = facts.sparkSession
+    out = stored_columns(facts, cfg).withColumn("load", F.lit(load)).hint("rebalance", "created_date")
+    if not spark.catalog.tableExists(table):
+        out.write.partitionBy("created_date", "load").saveAsTable(table)
+        return
+    columns = spark.table(table).columns
+    if mode == "replace" and "load" not in columns:
+        raise ValueError(f"{table} has no load column to replace by")
+    # any other column a table has is filled with NULL
+    row = out.select(*[F.col(f"`{c}`") if c in out.columns else F.lit(None).alias(c) for c in columns])
+    if mode != "replace":
+        row.write.mode("append").insertInto(table)
+        return
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        row.write.mode("overwrite").insertInto(table)
+
+
+def store_keywords(
+    facts: DataFrame, sink: str, cfg: SchemaConfig = SchemaConfig(), mode: str = "append", load: str = BATCH_LOAD
+) -> None:
+    """Writes fact rows to a fact folder or a catalog table, whichever ``sink`` names."""
+    write = append_keywords if is_path(sink) else append_keywords_table
+    write(facts, sink, cfg, mode=mode, load=load)
 
 
 def append_keywords_jdbc(
@@ -66,8 +95,12 @@ def append_keywords_jdbc(
     )
 
 
-def write_rejects(rejects: DataFrame, path: str) -> None:
-    rejects.write.mode("append").parquet(path)
+def write_rejects(rejects: DataFrame, path: str, load: str | None = None) -> None:
+    """Appends rejected rows; those of a named load replace that load's."""
+    if load is None:
+        rejects.write.mode("append").parquet(join_path(path, f"load={BATCH_LOAD}"))
+    else:
+        rejects.write.mode("overwrite").parquet(join_path(path, f"load={load}"))
 
 
 def write_report(sheets: dict[str, DataFrame], path: str, fmt: str = "csv") -> dict[str, str]:

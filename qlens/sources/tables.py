@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,19 +78,28 @@ class JdbcSource:
 
     def for_period(self, period: Period) -> "JdbcSource":
         """Slices of equal time that span the period; a single day is sliced as well."""
-        return JdbcSource(
-            self.url,
-            self.table,
-            self.partition_column,
-            f"{period.start} 00:00:00",
-            f"{period.end} 23:59:59",
-            self.partitions,
-            self.fetch_size,
-            self.options,
-        )
+        return replace(self, lower=f"{period.start} 00:00:00", upper=f"{period.end} 23:59:59")
+
+    def bounds(self, spark: SparkSession) -> tuple[str, str] | None:
+        """Least and greatest value of the partition column, found by the database; None for an empty table."""
+        opts = {k: v for k, v in self.reader_options().items() if k != "dbtable"}
+        query = f"SELECT min({self.partition_column}) AS low, max({self.partition_column}) AS high FROM {self.table} AS t"
+        row = spark.read.format("jdbc").options(**opts, query=query).load().first()
+        return None if row is None or row["low"] is None else (str(row["low"]), str(row["high"]))
+
+    def sliced(self, spark: SparkSession) -> "JdbcSource":
+        """With slices that span the whole table, where no bounds were given.
+
+        Rows outside of the bounds would still be read, by the first or last
+        slice, so a table that grows meanwhile loses nothing.
+        """
+        if not self.partition_column or (self.lower and self.upper) or self.partitions < 2:
+            return self
+        found = self.bounds(spark)
+        return self if found is None else replace(self, lower=found[0], upper=found[1])
 
     def load(self, spark: SparkSession) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.reader_options()).load()
+        return spark.read.format("jdbc").options(**self.sliced(spark).reader_options()).load()
 
 
 Source = str | JdbcSource | DataFrame
@@ -155,10 +164,20 @@ def stored_facts(spark: SparkSession, source: str, cfg: SchemaConfig = SchemaCon
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
     elif spark.catalog.tableExists(source):
+        spark.catalog.refreshTable(source)  # another session, such as a stream's, may have written to it
         return spark.table(source)
     return spark.createDataFrame([], schema)
 
 
+def facts_of_other_loads(spark: SparkSession, source: str, cfg: SchemaConfig, load: str) -> DataFrame:
+    """Stored facts under logical names that a load did not write itself; all of a table without loads."""
+    stored = stored_facts(spark, source, cfg)
+    if "load" in stored.columns:
+        stored = stored.filter(F.col("load") != load)
+    facts = read_keywords(spark, stored, cfg)
+    return facts if "created_date" in facts.columns else facts.withColumn("created_date", F.to_date("created_at"))
+
+
 def is_path(source: str) -> bool:
     return "/" in source
 

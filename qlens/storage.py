@@ -62,6 +62,20 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
             delete(spark, folder)
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str | int) -> Iterator[None]:
+    """A session setting for the length of a ``with`` block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Removes a folder wherever Spark's file systems can reach it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from qlens.config import DEFAULTS, KEYWORDS, Settings
+from qlens.config import DEFAULTS, KEYWORDS, SchemaConfig, Settings
 from qlens.functions.fixed_values import CATEGORY_RULES
 from qlens.operators.classify import Classifier, classify_questions, split_rejects
 from qlens.operators.questions import skip_existing
-from qlens.sources.sinks import append_keywords
-from qlens.sources.tables import stored_facts
-from qlens.storage import join_path, scratch
+from qlens.sources.sinks import store_keywords, write_rejects
+from qlens.sources.tables import facts_of_other_loads
+from qlens.storage import scratch
 
 WORK_SCHEMA = "input_text string, total_count bigint, created_at date"
 
@@ -52,10 +52,14 @@ def classify_stream(
     rejects: str | None = None,
     parallelism: int | None = None,
     settings: Settings = DEFAULTS,
+    cfg: SchemaConfig = SchemaConfig(),
+    bytes_per_step: int | None = None,
 ) -> StreamingQuery:
     """Classifies the work files not yet done, a bounded number per step, and appends the rows.
 
-    ``sink`` is a fact folder, the same that batch runs append to. The rows of
+    ``bytes_per_step`` bounds a step by the size of its files instead of their
+    number (a file larger than that is a step of its own). ``sink`` is a fact
+    folder or a catalog table, the same that batch runs append to, under the names that ``cfg`` gives. The rows of
     a step form a load of their own, ``<run>-<step>``, which replaces itself
     when the step is repeated, so one that failed half-way leaves no
     duplicates. The checkpoint remembers finished files. ``skip_done`` leaves
@@ -66,22 +70,25 @@ def classify_stream(
     def step(questions: DataFrame, batch_id: int) -> None:
         session, load = questions.sparkSession, f"{run}-{batch_id}"
         with scratch(session) as keep:
+            if cfg.collation:
+                questions = questions.withColumn("input_text", F.collate("input_text", cfg.collation))
             asked = keep(one_per_pair(questions))
             if skip_done:
                 first, last = asked.agg(F.min("created_at"), F.max("created_at")).first()
-                stored = stored_facts(session, sink).filter((F.col("load") != load) & F.col("created_date").between(first, last))
+                stored = facts_of_other_loads(session, sink, cfg, load).filter(F.col("created_date").between(first, last))
                 asked = skip_existing(asked, stored)
             facts = classify_questions(
                 asked, categories, batch_created_at, classifier, rules, parallelism, settings
             ).select(*KEYWORDS)
             good, bad = split_rejects(keep(facts) if rejects else facts)
-            append_keywords(good, sink, mode="replace", load=load)
+            store_keywords(good, sink, cfg, mode="replace", load=load)
             if rejects:
-                bad.write.mode("overwrite").parquet(join_path(rejects, f"load={load}"))
+                write_rejects(bad, rejects, load)
 
+    bound = ("maxFilesPerTrigger", files_per_step) if bytes_per_step is None else ("maxBytesPerTrigger", bytes_per_step)
     return (
         spark.readStream.schema(WORK_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_step)
+        .option(*bound)
         .parquet(work)
         .writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)

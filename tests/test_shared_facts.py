@@ -13,7 +13,7 @@ from qlens.operators.classify import classify
 from qlens.operators.gaps import missing_pairs
 from qlens.operators.questions import unique_questions_per_day
 from qlens.operators.summary import classify_summary
-from qlens.sources.sinks import append_keywords
+from qlens.sources.sinks import append_keywords, append_keywords_table
 from qlens.sources.tables import JdbcSource, jdbc_credentials, read_chats, read_keywords, stored_facts
 from qlens.storage import checkpoint_dir, scratch
 from qlens.streaming.incremental import classify_stream, write_work
@@ -194,3 +194,78 @@ def test_database_slices_and_login():
     assert options["numPartitions"] == "6" and options["upperBound"] == "2025-06-11 23:59:59"
     assert jdbc_credentials("mysql://u%40x:p%40s%2Fs@host/db") == {"user": "u@x", "password": "p@s/s"}
     assert jdbc_credentials("postgresql://only%20user@host/db") == {"user": "only user"}
+
+
+NAMES = SchemaConfig(columns={"query_text": "question", "keyword": "kw", "created_at": "day"})
+
+
+@pytest.mark.parametrize("kind", ["folder", "table"])
+@pytest.mark.parametrize("cfg", [SchemaConfig(), NAMES, SchemaConfig(collation="UNICODE_CI_RTRIM")])
+def test_stream_after_batch_whatever_the_names(spark, chats, categories, tmp_path, kind, cfg):
+    facts = str(tmp_path / "facts") if kind == "folder" else f"facts_{os.path.basename(tmp_path).replace('-', '_')}"
+    ci_chats = read_chats(spark, chats, SchemaConfig(collation=cfg.collation))
+    ws = Workspace(spark, ci_chats, categories, facts, cfg=cfg)
+    ws.run_batch(Period("2025-06-11", "2025-06-11"), LOADED)
+    work = unique_questions_per_day(ci_chats, P)
+    write_work(work.withColumn("input_text", F.collate("input_text", "UTF8_BINARY")), str(tmp_path / "work"))
+    for _ in range(2):  # the second time from the same checkpoint
+        stream(spark, tmp_path, categories, facts, cfg=cfg)
+        pairs = rows(ws.facts().select("query_text", "created_at"))
+        assert len(pairs) == work.count() == len(set(pairs))
+        assert all(q is not None for q, _ in pairs)
+    # the sink was written, the checkpoint was lost: step 0 runs again under its name
+    before = rows(ws.facts().drop("created_date"))
+    q = classify_stream(spark, str(tmp_path / "work"), facts, str(tmp_path / "cp-lost"), categories, "live", LOADED, cfg=cfg)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert rows(ws.facts().drop("created_date")) == before
+    assert ws.check_missing(P)[1].first().total_missing_questions == 0
+    assert ws.run_batch(P, LOADED).totals.first().processed_count == 0
+    if kind == "table":
+        assert set(cfg.physical(c) for c in ("query_text", "keyword")) <= set(spark.table(facts).columns)
+        spark.sql(f"DROP TABLE {facts}")
+
+
+@pytest.mark.parametrize("kind", ["folder", "table"])
+def test_a_repeated_load_changes_nothing(spark, make_chats, categories, tmp_path, kind):
+    facts = str(tmp_path / "facts") if kind == "folder" else f"loads_{os.path.basename(tmp_path).replace('-', '_')}"
+    chats = make_chats(("전학 절차", "2025-06-11T09:00:00"), ("성적 확인", "2025-06-12T10:00:00"), ("오류", "2025-06-12T10:00:00"))
+    # an unknown category: its rows can't be stored
+    few = categories.filter(F.col("category_id").isin(5, 11))
+    ws = Workspace(spark, chats, few, facts, str(tmp_path / "rejects"))
+    ws.run_batch(Period("2025-06-11", "2025-06-11"), LOADED, load="other")
+    seen = []
+    for _ in range(3):
+        ws.run_batch(P, LOADED, load="run-1")
+        seen.append((rows(stored_facts(spark, facts)), rows(spark.read.parquet(str(tmp_path / "rejects")))))
+    assert seen[0] == seen[1] == seen[2]
+    loads = {r.load for r in stored_facts(spark, facts).select("load").collect()}
+    assert "other" in loads
+    if kind == "table":
+        spark.sql(f"DROP TABLE {facts}")
+
+
+def test_tables_of_another_making(spark, make_keywords, tmp_path):
+    name = f"plain_{os.path.basename(tmp_path).replace('-', '_')}"
+    row = make_keywords(("a", "k", 1, 1, "2025-06-11"))
+    row.withColumn("note", F.lit("x")).write.saveAsTable(name)
+    append_keywords_table(make_keywords(("b", "k", 1, 1, "2025-06-12")), name)
+    assert rows(spark.table(name).select("query_text", "note")) == [("a", "x"), ("b", None)]
+    with pytest.raises(ValueError):
+        append_keywords_table(row, name, mode="replace", load="x")
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_slices_without_a_period_span_the_table(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(JdbcSource, "bounds", lambda self, spark: asked.append(self.table) or ("2024-01-01 00:00:00", "2024-03-01 12:00:00"))
+    source = JdbcSource("mysql://u:p@host/db", "chattings", partitions=4)
+    opts = source.sliced(spark).reader_options()
+    assert (opts["partitionColumn"], opts["lowerBound"], opts["upperBound"], opts["numPartitions"]) == ("created_at", "2024-01-01 00:00:00", "2024-03-01 12:00:00", "4")
+    assert asked == ["chattings"]
+    # no question to the database where bounds are known or there is nothing to slice
+    for other in (source.for_period(P), JdbcSource("mysql://host/db", "t", None), JdbcSource("mysql://host/db", "t", partitions=1)):
+        assert other.sliced(spark) == other
+    assert asked == ["chattings"]
+    monkeypatch.setattr(JdbcSource, "bounds", lambda self, spark: None)  # an empty table
+    assert "partitionColumn" not in source.sliced(spark).reader_options()

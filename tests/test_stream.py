@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -70,3 +71,18 @@ def test_rows_that_cannot_be_stored_are_kept_apart(spark, categories, tmp_path):
     run(spark, tmp_path, categories, rejects=str(tmp_path / "rejects"))
     assert rows(stored_facts(spark, str(tmp_path / "sink")).select("query_text")) == [("졸업",)]
     assert rows(spark.read.parquet(str(tmp_path / "rejects")).select("query_text", "reject_reason")) == [("전학", "query_count is null")]
+
+
+def test_steps_bounded_in_bytes(spark, questions, categories, tmp_path):
+    work = str(tmp_path / "work")
+    many = questions.filter("created_at < '2024-01-04'")
+    write_work(questions.filter("created_at >= '2024-01-04'").coalesce(1), work)  # one large file
+    for k in range(6):  # and many small ones
+        write_work(many.filter(f"pmod(xxhash64(input_text), 6) = {k}").coalesce(1), work)
+    sizes = sorted(os.path.getsize(os.path.join(work, f)) for f in os.listdir(work) if f.endswith(".parquet"))
+    assert len(sizes) == 7
+    bound = sum(sizes[:6]) + 1
+    q = run(spark, tmp_path, categories, bytes_per_step=bound)
+    steps = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    assert len(steps) >= 2 and sum(steps) == questions.count()
+    assert rows(stored_facts(spark, str(tmp_path / "sink")).select(FACTS)) == rows(classify_questions(questions, categories, LOADED).select(FACTS))
