@@ -34,6 +34,14 @@ def whole_row(docs: DataFrame, alias: str = "row") -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(alias)
 
 
+def lowest(h: Column, wanted: int, of: int) -> Column:
+    """True for the lowest of ``of`` evenly spread 64-bit hashes, about ``wanted`` of them; for all, where there are no more.
+
+    Put before a sort with a limit, it keeps each task from handing on that many rows of its own.
+    """
+    return F.lit(True) if of <= wanted else h < F.lit(-(1 << 63) + int(wanted / of * 2**64))
+
+
 def per_worker(key: Hashable, make: Callable[[], T]) -> T:
     """An object kept by the Python worker from task to task; only for what doesn't alter results.
 

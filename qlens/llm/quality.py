@@ -17,13 +17,16 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qlens.llm.common import id_remainder, per_worker, text_or_empty, travels, whole_row
+from qlens.llm.common import id_remainder, lowest, per_worker, text_or_empty, travels, whole_row
+from qlens.storage import scratch
 
-# At most so many labelled rows are fitted on, the first in hash order.
+# At most so many labelled documents are fitted on, the first in hash order, and of those as many as have this many
+# bytes of text together; a text of more than a sixteenth of that is scored like any other, but not learned from.
 SAMPLE_ROWS = 20_000
+SAMPLE_BYTES = 160 << 20
 WORD_BUCKETS = 1 << 16
 BINS = 16
 RANK = 8
@@ -118,6 +121,7 @@ def fit_model(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, see
     rng = np.random.default_rng(seed)
     share = min(0.99, max(0.01, float(labels.mean()))) if len(labels) else 0.5
     model = {
+        "rows": len(rows),
         "w0": np.log(share / (1 - share)),
         "w": np.zeros(N_FEATURES, dtype=np.float32),
         "v": rng.normal(0, 0.01, (N_FEATURES, RANK)).astype(np.float32),
@@ -148,19 +152,31 @@ def fit_model(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, see
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample_rows: int = SAMPLE_ROWS) -> dict:
-    """The model of at most ``sample_rows`` labelled rows for which ``learn`` (over the labels' doc_id) holds.
+def learned_from(docs: DataFrame, labels: DataFrame, learn: Column | None, sample_rows: int, sample_bytes: int, keep) -> DataFrame:
+    """(doc_id, quality, h): at most ``sample_rows`` labels of documents that are there, with the hash of the text to learn from.
 
-    Of rows that share an id one is learned from, the first by a hash of its text.
-    Rows without a label or an id are left out; without any row the model
-    gives every document the same even score.
+    Labels of other ids don't count towards the bound. Only ids, hashes and
+    lengths are shuffled.
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
     known = known.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).filter(F.lit(True) if learn is None else learn)
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample_rows)
-    found = inputs(docs).withColumnRenamed("doc_id", "id").join(F.broadcast(sample.select("doc_id")), F.col("id") == F.col("doc_id"), "left_semi")
-    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "declared")).alias("first")
-    rows = found.groupBy("id").agg(first).join(F.broadcast(sample), F.col("id") == F.col("doc_id")).select("doc_id", "quality", "first.text", "first.declared")
+    rows = inputs(docs).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), F.octet_length("text").cast("bigint").alias("n"))
+    rows = rows.filter((F.col("n") <= sample_bytes // 16) & F.col("id").isNotNull())
+    there = rows.groupBy("id").agg(F.min(F.struct("h", "n")).alias("first"))
+    found = keep(known.join(there, F.col("id") == F.col("doc_id")).select("doc_id", "quality", "first.*", F.xxhash64("doc_id").alias("order")))
+    few = found.filter(lowest(F.col("order"), 2 * sample_rows, found.count()))
+    sample = few.orderBy("order", "doc_id", "quality").limit(sample_rows)
+    total = F.sum("n").over(Window.orderBy("order", "doc_id", "quality"))  # over the bounded sample
+    return sample.withColumn("total", total).filter(F.col("total") <= sample_bytes).select("doc_id", "quality", "h")
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> dict:
+    """The model of a bounded sample of the labelled documents for which ``learn`` (over the labels' doc_id) holds.
+
+    Of rows that share an id one is learned from, the first by a hash of its text.
+    Rows without a label or an id are left out; without any row the model
+    gives every document the same even score, and its ``rows`` is 0.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed: dict[str, int] = {}
@@ -177,7 +193,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample_
             )
 
     schema = "doc_id bigint, quality double, ids array<int>, vals array<float>"
-    taken = rows.mapInArrow(run, schema).toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")])
+    own = inputs(docs).select(F.col("doc_id").alias("id"), "text", "declared", F.xxhash64("text").alias("own"))
+    with scratch(docs.sparkSession) as keep:
+        sample = keep(learned_from(docs, labels, learn, sample_rows, sample_bytes, keep))
+        chosen = sample.select(F.col("doc_id").alias("id"), F.col("h").alias("own")).distinct()
+        found = own.join(F.broadcast(chosen), ["id", "own"], "left_semi")
+        texts = found.groupBy("id").agg(F.min(F.struct("text", "declared")).alias("first"))
+        rows = texts.join(F.broadcast(sample), F.col("id") == F.col("doc_id")).select("doc_id", "quality", "first.text", "first.declared")
+        taken = rows.mapInArrow(run, schema).toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")])
     found = [
         (np.asarray(i.values.to_numpy(zero_copy_only=False)), np.asarray(v.values.to_numpy(zero_copy_only=False)))
         for i, v in zip(taken.column("ids"), taken.column("vals"))
@@ -226,10 +249,14 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with all columns, without the rows that score below ``THRESHOLD``.
 
-    Learned from all labels of ``docs``. Null and empty texts are scored like
+    Learned from all labels of ``docs``. Without one nothing is known against
+    any row, so all stay. Null and empty texts are scored like
     any other; repeated rows stay or go together; an empty table stays empty.
     """
-    score = scorer(docs.sparkSession, fit(docs, labels))
+    model = fit(docs, labels)
+    if not model["rows"]:
+        return docs
+    score = scorer(docs.sparkSession, model)
     declared = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double")
     rows = docs.select(whole_row(docs), score(text_or_empty(), declared).alias("s"))
     return rows.filter(F.col("s") >= THRESHOLD).select("row.*")

@@ -21,8 +21,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
-from qlens.llm.common import text_or_empty, travels, whole_row
+from qlens.llm.common import lowest, text_or_empty, travels, whole_row
 from qlens.storage import kept
 
 SHINGLE = 3
@@ -202,7 +203,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, shard_rows: int = SHARD
     reach = math.ceil(max_bits / 2)
     rows = distinct.count()
     shards = min(max_shards, math.ceil(rows / shard_rows) * 4)
-    sample = distinct.select("bits").orderBy(F.xxhash64("bits")).limit(shards * SAMPLE_PER_SHARD).toArrow().column("bits").to_numpy()
+    wanted, order = shards * SAMPLE_PER_SHARD, F.xxhash64("bits")
+    few = distinct.select("bits").filter(lowest(order, 2 * wanted, rows))
+    sample = few.orderBy(order).limit(wanted).toArrow().column("bits").to_numpy()
     tree = spark.sparkContext.broadcast(grow(sample.view(np.uint64), shards, reach))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,6 +286,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     )
 
 
+def ordered(kind: DataType) -> bool:
+    """Whether values of a type can be compared."""
+    if isinstance(kind, StructType):
+        return all(ordered(f.dataType) for f in kind.fields)
+    return ordered(kind.elementType) if isinstance(kind, ArrayType) else not isinstance(kind, (MapType, VariantType))
+
+
 def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with all columns, one row for each group of near-duplicates: the one with the smallest doc_id.
 
@@ -298,7 +308,9 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
     key = F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("")).alias("key")
     stays = groups.groupBy("root").agg(F.min("first").alias("first")).select("first.*").select(key, "h", "h2")
     # rows of the same id and text are one before the shuffle, and its partitions serve the join
-    rows = docs.select(whole_row(docs), key, *hashes).groupBy("key", "h", "h2").agg(F.min("row").alias("row"))
+    # columns that have no order, such as maps, are ordered as JSON
+    lowest_row = F.min("row") if ordered(docs.schema) else F.min_by("row", F.to_json("row"))
+    rows = docs.select(whole_row(docs), key, *hashes).groupBy("key", "h", "h2").agg(lowest_row.alias("row"))
     return rows.join(stays, ["key", "h", "h2"], "left_semi").select("row.*")
 
 

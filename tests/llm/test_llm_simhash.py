@@ -144,3 +144,21 @@ def test_kept_texts_by_group(make_docs):
 def test_empty_table(make_docs):
     assert simhash.near_duplicates(make_docs()).collect() == []
     assert simhash.one_per_group(make_docs()).collect() == []
+
+
+def test_group_rows_with_columns_that_have_no_order(spark, make_docs):
+    docs = make_docs((1, "a b c d e"), (2, "a b c d e"), (3, "x y z u v"), (3, "x y z u v"), (None, "p q r s t"))
+    mapped = docs.selectExpr("*", "map('k', doc_id) AS extra", "array(map('a', text)) AS more", "parse_json('[1]') AS v")
+    kept = simhash.one_per_group(mapped)
+    assert kept.columns == mapped.columns
+    assert sorted((r.doc_id or 0, r.extra["k"]) for r in kept.collect()) == [(0, None), (1, 1), (3, 3)]
+
+
+def test_tree_sample_is_thinned_before_it_is_sorted(spark):
+    prints = spark.range(0, 60_000, 1, 6).selectExpr("xxhash64(id) AS bits")
+    rows_, wanted = prints.count(), 1_000
+    few = prints.filter(simhash.lowest(simhash.F.xxhash64("bits"), 2 * wanted, rows_))
+    assert wanted < few.count() < 3 * wanted
+    order = simhash.F.xxhash64("bits")
+    assert few.orderBy(order).limit(wanted).collect() == prints.orderBy(order).limit(wanted).collect()
+    assert prints.filter(simhash.lowest(order, 10, 5)).count() == rows_
