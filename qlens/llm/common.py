@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Hashable
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +58,14 @@ def per_worker(key: Hashable, make: Callable[[], T]) -> T:
     return found
 
 
+def give_back() -> None:
+    """Returns memory that the worker's allocators hold free, which an executor with several idle workers would miss."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """For an application, before it calls these operators: Arrow batches of at most ``rows`` rows in this session.
 

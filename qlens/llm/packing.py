@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from qlens.llm.common import per_worker, text_or_empty, travels
+from qlens.llm.common import give_back, per_worker, text_or_empty, travels
 from qlens.storage import kept
 
 CAPACITY = 4096
@@ -178,6 +178,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                     ],
                     ["doc_id", "piece", "start", "length", "ids"],
                 )
+            ids = raw = None
+            give_back()
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(
         run, "doc_id bigint, piece int, start bigint, length bigint, ids binary"
