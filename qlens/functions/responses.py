@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from qlens.functions.text import (
     normalize_categories,
     strip,
 )
+from qlens.storage import shuffle_partitions
 
 ARGUMENTS_PATH = "$.result.message.toolCalls[0].function.arguments"
 FALSY_JSON = r"^(null|false|\[\]|\{\}|-?0+(\.0+)?([eE][-+]?[0-9]+)?)$"
@@ -72,6 +73,35 @@ def _item(item: Column) -> Column:
     )
 
 
+def parse_distinct_responses(
+    df: DataFrame,
+    spread: Sequence[str],
+    response: str = "response",
+    text: str = "input_text",
+    out: str = "classification",
+    rules: Mapping[str, str] = CATEGORY_RULES,
+    other: str = OTHER,
+) -> DataFrame:
+    """Like ``parse_responses``, for rows of which many have the same text and response: each pair is parsed once.
+
+    The answers are joined back on the pair and a slice, a hash of the columns
+    ``spread`` that tell rows apart, so that a pair which a third of all rows
+    have is dealt out over as many tasks as a shuffle has.
+    """
+    slices = F.lit(shuffle_partitions(df.sparkSession))
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*spread), slices).cast("int"))
+    keys = sliced.select(F.col(text).alias("_text"), F.col(response).alias("_response"), "_slice").distinct()
+    parsed = parse_responses(
+        keys.select("_text", "_response").distinct(), "_response", "_text", "_out", rules, other
+    ).select(F.col("_text").alias("_t"), F.col("_response").alias("_r"), "_out")
+    answers = keys.join(parsed, F.col("_text").eqNullSafe(F.col("_t")) & F.col("_response").eqNullSafe(F.col("_r"))).select(
+        "_text", "_response", F.col("_slice").alias("_s"), "_out"
+    )
+    same = F.col(text).eqNullSafe(F.col("_text")) & F.col(response).eqNullSafe(F.col("_response"))
+    joined = sliced.join(answers, same & (F.col("_slice") == F.col("_s")))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.col("_out").alias(out))
+
+
 def parse_responses(
     df: DataFrame,
     response: str = "response",

@@ -25,11 +25,21 @@ def non_empty(col: Column | str) -> Column:
     return _holds(~is_blank(col))
 
 
+def decimal_digits() -> str:
+    """Every script's decimal digits: runs of ten that begin with a zero."""
+    return "".join(chr(c) for c in range(0x110000) if chr(c).isdecimal())
+
+
+def ascii_digits(text: Column) -> Column:
+    """The text with the decimal digits of every script as 0 to 9."""
+    digits = decimal_digits()
+    return F.translate(text, digits, "".join(str(int(d)) for d in digits))
+
+
 def positive_integer(col: Column | str) -> Column:
-    """Text that reads as a whole number above zero."""
+    """Text that reads as a whole number above zero; any decimal digit counts."""
     t = strip(col)
-    # any decimal digit counts; the zeros are the first of each run of ten
-    zero = "".join(chr(c) for c in range(0x110000) if chr(c).isdecimal() and int(chr(c)) == 0)
+    zero = "".join(d for d in decimal_digits() if int(d) == 0)
     return _holds(t.rlike(r"^\+?\p{Nd}+(_\p{Nd}+)*\z") & t.rlike(rf"[\p{{Nd}}&&[^{zero}]]"))
 
 
@@ -39,8 +49,8 @@ def positive_number(col: Column | str) -> Column:
 
 
 def valid_day(col: Column | str) -> Column:
-    """``yyyy-MM-dd`` text naming a real day; single-digit months and days are fine."""
-    c = _col(col)
+    """``yyyy-MM-dd`` text naming a real day; single-digit months and days are fine, and any decimal digits."""
+    c = ascii_digits(_col(col))
     parsed = F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}\z"), c.try_cast("date"))
     return _holds(parsed >= F.lit("0001-01-01").cast("date"))
 

@@ -106,12 +106,14 @@ def explode_classification(classified: DataFrame, settings: Settings = DEFAULTS)
     )
 
 
-def to_facts(exploded: DataFrame, categories: DataFrame, batch_created_at: datetime | Column) -> DataFrame:
+def to_facts(
+    exploded: DataFrame, categories: DataFrame, batch_created_at: datetime | Column, settings: Settings = DEFAULTS
+) -> DataFrame:
     """Fact rows (plus the category name) from exploded classifications."""
     loaded = batch_created_at if isinstance(batch_created_at, Column) else timestamp(batch_created_at)
     return resolve_category_ids(exploded, categories).select(
         F.col("input_text").alias("query_text"),
-        truncate_keyword("keyword").alias("keyword"),
+        truncate_keyword("keyword", settings.max_keyword_length).alias("keyword"),
         F.col("category_id").cast("int").alias("category_id"),
         F.col("total_count").cast("bigint").alias("query_count"),
         F.col("created_at").cast("timestamp_ntz").alias("created_at"),
@@ -135,7 +137,7 @@ def classify_questions(
     """
     plain = questions.withColumn("input_text", binary("input_text"))
     answered = classify(plain, classifier, rules, parallelism, settings)
-    return to_facts(explode_classification(answered, settings), categories, batch_created_at)
+    return to_facts(explode_classification(answered, settings), categories, batch_created_at, settings)
 
 
 def skipped_questions(questions: DataFrame, facts: DataFrame) -> DataFrame:
@@ -146,28 +148,29 @@ def skipped_questions(questions: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
-def reject_reason() -> Column:
+def reject_reason(settings: Settings = DEFAULTS) -> Column:
     """Why a row cannot be stored; NULL when it can."""
     return (
         F.when(F.col("query_text").isNull(), "query_text is null")
         .when(F.col("keyword").isNull(), "keyword is null")
-        .when(F.length("keyword") > DEFAULTS.max_keyword_length, "keyword too long")
+        .when(F.length("keyword") > settings.max_keyword_length, "keyword too long")
         .when(F.col("category_id").isNull(), "category_id is null")
         .when(F.col("query_count").isNull(), "query_count is null")
         .when(F.col("created_at").isNull(), "created_at is null")
     )
 
 
-def split_rejects(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_rejects(facts: DataFrame, settings: Settings = DEFAULTS) -> tuple[DataFrame, DataFrame]:
     """(storable rows, rejected rows with a reason), decided before anything is written."""
-    good = facts.filter(reject_reason().isNull())
-    bad = facts.withColumn("reject_reason", reject_reason()).filter("reject_reason IS NOT NULL")
+    reason = reject_reason(settings)
+    good = facts.filter(reason.isNull())
+    bad = facts.withColumn("reject_reason", reason).filter("reject_reason IS NOT NULL")
     return good, bad
 
 
-def reject_counts(facts: DataFrame) -> DataFrame:
+def reject_counts(facts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Rows per outcome: stored, or the reason they cannot be."""
-    return facts.groupBy(F.coalesce(reject_reason(), F.lit("stored")).alias("outcome")).agg(
+    return facts.groupBy(F.coalesce(reject_reason(settings), F.lit("stored")).alias("outcome")).agg(
         F.count(F.lit(1)).alias("rows")
     )
 

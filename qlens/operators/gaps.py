@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qlens.operators.summary import classify_summary
+from qlens.operators.questions import first_in_order
 from qlens.period import Period, data_day_spine, day, day_spine, in_period, loaded_on, loaded_since
 
 MODES = ("first_day", "per_day", "ever")
@@ -88,7 +89,7 @@ def missing_work(
 ) -> DataFrame:
     """Work list (day, question, messages); ``limit`` takes the first in day and text order."""
     work = missing_detail(chats, keywords, period, mode).drop("first_seen")
-    return work if limit is None else work.orderBy("missing_date", "input_text").limit(limit)
+    return work if limit is None else first_in_order(work, limit, [F.col("missing_date"), F.col("input_text")])
 
 
 def missing_pairs(

@@ -11,6 +11,8 @@ from qlens.functions.fixed_values import LOG_API_FAILED, LOG_API_OK, LOG_FAILED_
 from qlens.operators.summary import classify_summary
 from qlens.period import Period, day, day_spine, in_period, loaded_on
 
+PIECE = 1 << 16
+
 
 def daily_totals(chats: DataFrame, period: Period | None = None) -> DataFrame:
     """Distinct questions and messages per day."""
@@ -136,13 +138,24 @@ def run_totals(ledger: DataFrame) -> DataFrame:
 
 
 def result_diff(left: DataFrame, right: DataFrame, distinct: bool = False) -> DataFrame:
-    """Rows only in one of two results, tagged ``left`` or ``right``; empty when they agree."""
-    right = right.select(*left.columns)
-    only = DataFrame.subtract if distinct else DataFrame.exceptAll
-    return (
-        only(left, right).withColumn("side", F.lit("left"))
-        .unionByName(only(right, left).withColumn("side", F.lit("right")))
-    )
+    """Rows only in one of two results, tagged ``left`` or ``right``; empty when they agree.
+
+    Each side is read once: rows count +1 or -1, and one aggregate over both
+    leaves what doesn't cancel out, with as many copies as it is short of.
+    """
+    columns = [F.col(f"`{c}`") for c in left.columns]
+    both = left.select(*columns, F.lit(1).alias("_sign")).union(right.select(*columns, F.lit(-1)))
+    if distinct:
+        surplus = F.max("_sign") + F.min("_sign")  # 0 where both have the row
+        count = F.when(surplus > 0, 1).when(surplus < 0, -1).otherwise(0)
+    else:
+        count = F.sum("_sign")
+    counted = both.groupBy(*columns).agg(count.cast("bigint").alias("_sign")).filter("_sign <> 0")
+    side = F.when(F.col("_sign") > 0, "left").otherwise("right").alias("side")
+    # a row's copies are written out in pieces, so that no array grows with them
+    pieces = counted.select("*", F.explode(F.expr(f"sequence(0L, (abs(_sign) - 1) div {PIECE})")).alias("_piece"))
+    copies = F.explode(F.expr(f"sequence(1L, least({PIECE}L, abs(_sign) - _piece * {PIECE}))"))
+    return pieces.select(*columns, side, copies.alias("_copy")).drop("_copy")
 
 
 def same_result(left: DataFrame, right: DataFrame) -> bool:

@@ -9,6 +9,9 @@ from qlens.functions.text import question_key
 from qlens.period import Period, day, in_period
 from qlens.storage import shuffle_partitions, stable
 
+# Rows of a top-k that one task may gather.
+AT_ONCE = 100_000
+
 
 def unique_questions(chats: DataFrame, period: Period | None = None, ordered: bool = True) -> DataFrame:
     """Each question of the whole range: repeat count and last day asked.
@@ -102,13 +105,30 @@ def skip_existing(questions: DataFrame, keywords: DataFrame, period: Period | No
 
 
 def resume_offset(questions: DataFrame, start_index: int, order: list | None = None) -> DataFrame:
-    """Questions from position ``start_index`` of the work order on.
+    """Questions from position ``start_index`` of the work order on."""
+    return positioned(questions, order or work_order()).filter(F.col("_at") >= start_index).drop("_at")
+
+
+def first_in_order(rows: DataFrame, limit: int, order: list, at_once: int = AT_ONCE) -> DataFrame:
+    """The first ``limit`` rows in the given order, sorted.
+
+    A limit of up to ``at_once`` is a top-k: each task hands on its first rows
+    to one. A larger one would gather all it asks for in that task, so the
+    rows are numbered instead.
+    """
+    if limit <= at_once:
+        return rows.orderBy(*order).limit(limit)
+    return positioned(rows, order).filter(F.col("_at") < limit).drop("_at")
+
+
+def positioned(rows: DataFrame, order: list) -> DataFrame:
+    """``rows`` sorted, with ``_at``, their position from 0.
 
-    ``DataFrame.offset`` would move every row through one task. The sorted rows
+    ``DataFrame.offset`` or a window over all would move every row through one task. The sorted rows
     are kept (reliable checkpoint), counted per partition, and numbered from
     the partition totals, which are as few as the partitions.
     """
-    ordered = stable(questions.orderBy(*(order or work_order())))
+    ordered = stable(rows.orderBy(*order))
     placed = ordered.withColumn("_part", F.spark_partition_id()).withColumn(
         "_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     )
@@ -120,6 +140,6 @@ def resume_offset(questions: DataFrame, start_index: int, order: list | None = N
     )
     return (
         placed.join(F.broadcast(starts), "_part")
-        .filter(F.col("_start") + F.col("_pos") >= start_index)
+        .withColumn("_at", F.col("_start") + F.col("_pos"))
         .drop("_part", "_pos", "_start")
     )

@@ -177,7 +177,7 @@ class Workspace:
                     questions, self.categories, loaded, self.classifier, self.rules, self.parallelism, self.settings
                 ).select(*KEYWORDS)
             )
-            good, bad = split_rejects(facts)
+            good, bad = split_rejects(facts, self.settings)
             mode = "append" if load is None else "replace"
             store_keywords(good, self.fact_source, self.cfg, mode=mode, load=load or BATCH_LOAD)
             if self.reject_path:

@@ -80,7 +80,7 @@ def classify_stream(
             facts = classify_questions(
                 asked, categories, batch_created_at, classifier, rules, parallelism, settings
             ).select(*KEYWORDS)
-            good, bad = split_rejects(keep(facts) if rejects else facts)
+            good, bad = split_rejects(keep(facts) if rejects else facts, settings)
             store_keywords(good, sink, cfg, mode="replace", load=load)
             if rejects:
                 write_rejects(bad, rejects, load)

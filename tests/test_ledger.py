@@ -61,6 +61,26 @@ def test_result_diff_counts_duplicates(spark):
     assert ledger.same_result(a, a) and not ledger.same_result(a, b)
 
 
+def test_result_diff_reads_each_side_once(spark, tmp_path, monkeypatch):
+    a = [(k % 7, float(k % 3), "x" if k % 2 else None) for k in range(60)]
+    b = [(k % 5, float(k % 3), "x") for k in range(50)] + [(1, float("nan"), "y")]
+    frames = []
+    for name, data in (("a", a), ("b", b)):
+        spark.createDataFrame(data, "n int, v double, t string").write.parquet(str(tmp_path / name))
+        frames.append(spark.read.parquet(str(tmp_path / name)))
+    left, right = frames
+    found = ledger.result_diff(left, right)
+    plan = found._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "simple").split("== Initial Plan")[0]
+    assert plan.count("FileScan") == 2 and plan.count("Exchange") == 1
+    only = [(left.exceptAll(right), "left"), (right.exceptAll(left), "right")]
+    for pieces in (ledger.PIECE, 2):
+        monkeypatch.setattr(ledger, "PIECE", pieces)
+        expected = sorted(repr((*r, side)) for df, side in only for r in df.collect())
+        assert sorted(repr(tuple(r)) for r in ledger.result_diff(left, right).collect()) == expected
+    distinct = sorted(repr((*r, s)) for x, y, s in ((left, right, "left"), (right, left, "right")) for r in x.subtract(y).collect())
+    assert sorted(repr(tuple(r)) for r in ledger.result_diff(left, right, distinct=True).collect()) == distinct
+
+
 LOG = [
     "2025-06-19 01:00:00 - nightly_run - INFO - 🎉 기간별 배치 처리 완료! - 끝",
     "2025-06-19 01:00:01 - classifier - INFO - API 호출 성공",

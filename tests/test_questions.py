@@ -92,3 +92,14 @@ def test_resume_offset_numbers_rows_across_partitions(spark):
     expected = [tuple(r) for r in work.orderBy(*q.work_order()).collect()]
     for start in (0, 1, 137, 499, 500):
         assert sorted(map(tuple, q.resume_offset(work, start).collect())) == sorted(expected[start:])
+
+
+def test_a_large_limit_is_not_gathered_in_one_task(spark):
+    from qlens.operators.questions import first_in_order
+
+    df = spark.range(0, 500, 1, 7).selectExpr("id % 13 AS a", "CAST(id AS STRING) AS b")
+    order = [df["a"], df["b"]]
+    for limit in (0, 1, 77, 500, 900):
+        assert first_in_order(df, limit, order, at_once=0).collect() == first_in_order(df, limit, order).collect()
+    plan = first_in_order(df, 77, order, at_once=0)
+    assert "TakeOrdered" not in plan._sc._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "simple")

@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from qlens.functions.responses import parse_responses
+from qlens.functions.responses import parse_distinct_responses, parse_responses
 
 QUESTION = "성적 확인 방법을 알려주세요"
 FALLBACK = [("성적", ["평가(성적) 관련"])]
@@ -78,3 +78,20 @@ def test_null_question_has_no_classification(spark):
     df = spark.createDataFrame([(None, CASES[0][0])], "input_text string, response string")
     assert parse_responses(df).first().classification is None
     assert parse_responses(df).filter(F.col("classification").isNull()).count() == 1
+
+
+def test_each_pair_is_parsed_once_with_the_same_answers(spark):
+    cases = [(q, r) for q in (QUESTION, None, "졸업 서류") for r, _ in CASES]
+    rows = [(i, *cases[i % len(cases)]) for i in range(3 * len(cases))] + [(1000 + i, *cases[0]) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, input_text string, response string").repartition(5)
+    once = parse_distinct_responses(df, spread=["id"])
+    assert once.columns == [*df.columns, "classification"]
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, parse_responses(df).collect()))
+    assert parse_distinct_responses(df.limit(0), spread=["id"]).count() == 0
+
+
+def test_a_hot_pair_is_spread_over_slices(spark):
+    df = spark.createDataFrame([(i, QUESTION, CASES[0][0]) for i in range(400)], "id int, input_text string, response string")
+    plan = parse_distinct_responses(df, spread=["id"])
+    text = plan._sc._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "simple")
+    assert "_slice" in text and text.count("try_parse_json") <= 2  # in the branch of the distinct pairs only

@@ -189,7 +189,7 @@ def test_validation(spark):
         validation.valid_email: [("a.b+c@d-e.fr", True), ("a@b", False), ("a b@c.de", False), ("a@b.c", False), (None, False), ("a@b.co\n", True)],
         validation.non_empty: [(" x ", True), ("　", False), ("", False), (None, False)],
         validation.positive_integer: [("5", True), (" 07 ", True), ("0", False), ("-3", False), ("1.5", False), ("x", False), ("1_000", True), (None, False), ("５", True), ("０", False), ("٣", True), ("5\n", True), ("5_", False), ("1\n2", False)],
-        validation.valid_day: [("2024-02-29", True), ("2024-2-9", True), ("2023-02-29", False), ("2024/01/01", False), ("20240101", False), (None, False), ("2024-1-1\n", False)],
+        validation.valid_day: [("2024-02-29", True), ("2024-2-9", True), ("2023-02-29", False), ("2024/01/01", False), ("20240101", False), (None, False), ("2024-1-1\n", False), ("２０２４-01-01", True), ("٢٠٢٤-٢-٣٠", False), ("2024-᠑-१", True)],
         validation.keyword_structure: [
             ('[{"keyword":"a","categories":["b"]}]', True),
             ("[]", True),
@@ -214,3 +214,20 @@ def test_violations_count_in_one_row_per_rule(spark):
     rules = {"mail": validation.valid_email("mail"), "n": validation.positive_number("n")}
     assert sorted(tuple(r) for r in validation.violations(df, rules).collect()) == [("mail", 3, 2), ("n", 3, 2)]
     assert validation.validate_rows(df, rules).filter("ok_mail AND ok_n").count() == 1
+
+
+def test_keyword_length_is_a_setting(spark, categories):
+    from datetime import datetime
+
+    from qlens.config import Settings
+    from qlens.operators.classify import classify_questions, reject_counts, split_rejects
+
+    ask = lambda q: [{"keyword": "k" * 60, "categories": ["입학 관련"]}]
+    asked = spark.createDataFrame([("전학 절차가 궁금합니다", 1, datetime(2025, 6, 11))], "input_text string, total_count bigint, created_at timestamp_ntz")
+    short = Settings(max_keyword_length=30)
+    facts = classify_questions(asked, categories, datetime(2025, 6, 20), ask, settings=short)
+    assert [len(r.keyword) for r in facts.collect()] == [30]
+    long = classify_questions(asked, categories, datetime(2025, 6, 20), ask)
+    assert [len(r.keyword) for r in long.collect()] == [60]
+    assert [r.reject_reason for r in split_rejects(long, short)[1].collect()] == ["keyword too long"]
+    assert split_rejects(long)[0].count() == 1 and reject_counts(long, short).first().outcome == "keyword too long"

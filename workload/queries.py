@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from qlens.config import KEYWORDS
 from qlens.functions import dates, text, validation
-from qlens.functions.responses import parse_responses
+from qlens.functions.responses import parse_distinct_responses
 from qlens.operators import classify, gaps, ledger, lookup, questions, report, summary
 from qlens.period import Period, data_day_spine, in_period, loaded_on, shortcut_table
 from qlens.plans.runs import complete_run
@@ -525,20 +525,24 @@ def _flat(classified: DataFrame, *cols: str) -> DataFrame:
     )
 
 
+def _parsed(spark, d):
+    return parse_distinct_responses(v.responses(spark, d), spread=["chatting_pk"])
+
+
 @query
-def parse_responses_(spark, d):
-    return _flat(parse_responses(v.responses(spark, d)), "chatting_pk")
+def parse_responses(spark, d):
+    return _flat(_parsed(spark, d), "chatting_pk")
 
 
 @query
 def explode_classification(spark, d):
-    parsed = parse_responses(v.responses(spark, d)).drop("response")
+    parsed = _parsed(spark, d).drop("response")
     return classify.explode_classification(parsed)
 
 
 @query
 def category_resolve(spark, d):
-    parsed = parse_responses(v.responses(spark, d)).drop("response")
+    parsed = _parsed(spark, d).drop("response")
     return lookup.resolve_category_ids(classify.explode_classification(parsed), v.categories(spark))
 
 
