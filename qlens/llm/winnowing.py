@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qlens.llm.common import per_worker, text_or_empty, travels
+from qlens.llm.common import lowest, per_worker, text_or_empty, travels
 from qlens.storage import shuffle_partitions
 
 K = 16
@@ -22,11 +22,11 @@ WINDOW = 48
 # Hashes keep 40 bits, so that a place within a segment fits beside one in 64.
 PLACE_BITS = 24
 SEGMENT = 1 << 22
-# Ranges of ids that one task sorts, and their cuts' bounded sample.
+# Ranges of ids and hashes that one task sorts, and their cuts' bounded sample.
 RANGE_ROWS = 2_000
 MAX_RANGES = 1 << 18
 SAMPLE_PER_RANGE = 8
-NO_ID = -(1 << 63)
+PLACE = [("has", "i1"), ("id", "i8"), ("h", "i8")]
 NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 TYPES = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -121,23 +121,34 @@ def fingerprints(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame
     )
 
 
+def places_of(batch: pa.RecordBatch) -> np.ndarray:
+    """Where rows stand in ascending order: rows without an id first, then by id, then by the hash of the text."""
+    out = np.empty(batch.num_rows, dtype=PLACE)
+    for name, _ in PLACE:
+        out[name] = batch.column(name).to_numpy(zero_copy_only=False)
+    return out
+
+
 def in_id_order(docs: DataFrame, range_rows: int = RANGE_ROWS, max_ranges: int = MAX_RANGES) -> DataFrame:
-    """(bucket, extra, doc_id, text) sorted within partitions, a bucket whole in one partition, so that each row stands before its next.
+    """(bucket, extra, has, id, h, text) sorted within partitions, a bucket whole in one partition, so that each row stands before its next.
 
     Next means descending doc_id, and the first row after the last. Buckets
-    are ranges of ids, cut at a bounded sample; the first rows of a bucket
-    also go to the bucket above it, marked ``extra``, and the very first to
+    are ranges of (id, hash of the text), cut at a bounded sample, so that the
+    rows of one id, or of none, are dealt out over several; the first row of a bucket
+    also goes to the bucket above it, marked ``extra``, and the very first to
     the last bucket. That takes one shuffle of the texts. Null ids come last;
-    rows of the same id follow one another in the order of their texts.
+    rows of the same id follow one another in the order of hashes of their texts.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), text_or_empty().alias("text"))
-    ids = rows.select("id")
-    n = ids.count()
+    doc_id = F.col("doc_id").cast("bigint")
+    rows = docs.select(doc_id.isNotNull().alias("has"), F.coalesce(doc_id, F.lit(0)).alias("id"), F.xxhash64(text_or_empty()).alias("h"), text_or_empty().alias("text"))
+    keys = rows.select("has", "id", "h")
+    n = keys.count()
     ranges = min(max_ranges, -(-n // range_rows))
-    wanted = min(1.0, ranges * SAMPLE_PER_RANGE / max(1, n))
-    sample = ids.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) <= int(wanted * (1 << 30))).orderBy(F.xxhash64("id"), "id")
-    drawn = np.sort(sample.limit(2 * ranges * SAMPLE_PER_RANGE).toArrow().column("id").to_numpy())
+    order = F.xxhash64("has", "id", "h")
+    sample = keys.filter(lowest(order, ranges * SAMPLE_PER_RANGE, n)).orderBy(order, "has", "id", "h")
+    taken = sample.limit(2 * ranges * SAMPLE_PER_RANGE).toArrow().combine_chunks().to_batches()
+    drawn = np.sort(places_of(taken[0])) if taken else np.empty(0, dtype=PLACE)
     cuts = np.unique(drawn[[len(drawn) * k // ranges for k in range(1, ranges)]]) if len(drawn) else drawn
 
     def bucket_of(own: np.ndarray) -> np.ndarray:
@@ -145,29 +156,28 @@ def in_id_order(docs: DataFrame, range_rows: int = RANGE_ROWS, max_ranges: int =
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = batch.column("id").to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(bucket_of(own)), batch.column("id")], ["bucket", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(bucket_of(places_of(batch))), *batch.columns], ["bucket", "has", "id", "h"])
 
-    tops = ids.mapInArrow(number, "bucket bigint, id bigint").groupBy("bucket").agg(F.max("id").alias("id")).orderBy("bucket").toArrow()
-    filled, top = tops.column("bucket").to_numpy(), tops.column("id").to_numpy()  # at most max_ranges rows
+    top_of = keys.mapInArrow(number, "bucket bigint, has boolean, id bigint, h bigint").groupBy("bucket").agg(F.max(F.struct("has", "id", "h")).alias("top"))
+    tops = top_of.select("bucket", "top.*").orderBy("bucket").toArrow().combine_chunks().to_batches()  # at most max_ranges rows
+    filled, top = (tops[0].column("bucket").to_numpy(), places_of(tops[0])) if tops else (np.empty(0, dtype=np.int64), drawn)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["bucket", "extra", "has", "id", "h", "text"]
         for batch in batches:
-            own = batch.column("id").to_numpy()
+            own = places_of(batch)
             bucket = bucket_of(own)
             at = np.searchsorted(filled, bucket)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(np.zeros(len(own), bool)), *batch.columns], names)
             first = np.flatnonzero(top[at] == own)
-            table = pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(np.zeros(len(own), bool)), *batch.columns], ["bucket", "extra", "id", "text"])
-            yield table
-            if len(first):
+            if len(first):  # of rows alike, one will do
+                first = first[np.unique(bucket[first], return_index=True)[1]]
                 to = filled[at[first] - 1]  # the bucket above; before the first stands the last
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(to), pa.array(np.ones(len(first), bool)), *[c.take(pa.array(first)) for c in batch.columns]], ["bucket", "extra", "id", "text"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(np.ones(len(first), bool)), *[c.take(pa.array(first)) for c in batch.columns]], names)
 
-    dealt = rows.mapInArrow(deal, "bucket bigint, extra boolean, id bigint, text string")
+    dealt = rows.mapInArrow(deal, "bucket bigint, extra boolean, has boolean, id bigint, h bigint, text string")
     return dealt.repartition(max(shuffle_partitions(spark), ranges // 4), "bucket").sortWithinPartitions(
-        "bucket", "extra", F.col("id").desc(), "text"
+        "bucket", "extra", F.col("has").desc(), F.col("id").desc(), F.col("h").desc(), "text"
     )
 
 
@@ -184,13 +194,13 @@ def compare_with_next(docs: DataFrame, k: int = K, window: int = WINDOW) -> Data
         from hashlib import sha256
 
         def result(here: tuple, after: tuple) -> tuple:
-            _, _, doc_id, text, own = here
+            _, _, has, doc_id, _, text, own = here
             half = len(text) // 2
-            edited = text[: len(text) - half] + after[3][:half]
+            edited = text[: len(text) - half] + after[5][:half]
             other = winnow(edited, k, window)
             digest = sha256(edited.encode()).hexdigest()
             return (
-                None if doc_id == NO_ID else doc_id, len(text), digest, as_text(own), as_text(other), likeness(own, other), likeness(own, after[4]),
+                doc_id if has else None, len(text), digest, as_text(own), as_text(other), likeness(own, other), likeness(own, after[6]),
             )
 
         here = None
@@ -198,7 +208,7 @@ def compare_with_next(docs: DataFrame, k: int = K, window: int = WINDOW) -> Data
             for at in range(0, whole.num_rows, 1000):
                 out = []
                 for row in zip(*[c.to_pylist() for c in whole.slice(at, 1000).columns]):
-                    after = (*row, winnow(row[3], k, window))
+                    after = (*row, winnow(row[5], k, window))
                     if here is not None and here[0] == after[0] and not here[1]:
                         out.append(result(here, after))
                     here = after

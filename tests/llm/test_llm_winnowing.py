@@ -89,3 +89,19 @@ def test_fingerprints_of_a_table(make_docs):
     out = {r.doc_id: (r.hashes, r.places) for r in w.fingerprints(make_docs((1, "text " * 40), (2, None))).collect()}
     own = w.winnow("text " * 40)
     assert out == {1: (own[0].tolist(), own[1].tolist()), 2: ([], [])}
+
+
+def test_rows_of_one_id_are_spread(make_docs, documents):
+    """A third of all rows with one id, a third without any: no range holds more than a few times its rows."""
+    texts = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, f"text number {k} of its kind") for k in range(1500)]
+    dealt = w.in_id_order(make_docs(*texts), 50, w.MAX_RANGES)
+    counts = sorted(r["count"] for r in dealt.groupBy("bucket").count().collect())
+    assert sum(counts) == 1500 + len(counts) and len(counts) > 15 and counts[-1] < 300
+    out = w.compare_with_next(make_docs(*texts)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in out) == sorted((i is None, i or 0) for i, _ in texts)
+
+
+def test_smallest_id_and_no_id_differ(make_docs):
+    lowest = -(1 << 63)
+    out = {r.doc_id: tuple(r)[1:] for r in w.compare_with_next(make_docs((lowest, "a" * 70), (None, "b" * 70), (1, "c" * 70))).collect()}
+    assert out == expected([(lowest, "a" * 70), (None, "b" * 70), (1, "c" * 70)])
