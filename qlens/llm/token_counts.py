@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qlens.llm.common import per_worker, text_or_empty, travels
+from qlens.storage import kept, scratch, shuffle_partitions
 
 CACHE = "content binary, n_tokens bigint, tokenizer string"
-# Up to so many missing digests (32 bytes each) are sent to all executors, to leave known texts out of the shuffle.
-SENT_DIGESTS = 200_000
+# Bits of the filter that leaves known texts out of the shuffle: 4 MB.
+FILTER_BITS = 25
 
 
 def library(path: str) -> str:
@@ -64,26 +65,40 @@ def cached(spark, cache_path: str, version: str) -> DataFrame:
     return rows.groupBy("content").agg(F.min("n_tokens").alias("n_tokens"))
 
 
-def fill_cache(contents: DataFrame, tokenizer_path: str, cache_path: str) -> None:
+def place(content: str = "content") -> Column:
+    """The first ``FILTER_BITS`` bits of a digest."""
+    return F.conv(F.substring(F.hex(content), 1, 8), 16, 10).cast("bigint").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+
+
+def among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` whose content may be one of ``wanted``: all that are, and those of the others that share a bit with one.
+
+    The filter is a bitmap of at most 2**FILTER_BITS bits, sent to all
+    executors in strips of 4 KB, so its size doesn't grow with either side.
+    """
+    bit = place()
+    strips = wanted.select(F.bitmap_bucket_number(bit).alias("strip"), F.bitmap_bit_position(bit).alias("bit"))
+    strips = strips.groupBy("strip").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.floor(byte / F.pow(F.lit(2), at % 8)) % 2 == 1
+    found = rows.withColumn("strip", F.bitmap_bucket_number(bit)).join(F.broadcast(strips), "strip")
+    return found.filter(hit).select(*rows.columns)
+
+
+def fill_cache(contents: DataFrame, tokenizer_path: str, cache_path: str, digests: DataFrame | None = None) -> None:
     """Appends the counts of those ``contents`` (content, text) that the cache lacks for this tokenizer version.
 
-    Copies are reduced to one before the shuffle, so that a text which a third
-    of all rows share is one row of each task. With nothing missing no text is
-    shuffled, with little missing only that.
+    Which digests are missing is found out without the texts (from ``digests``,
+    if they are at hand). A filter of bounded size then keeps known texts from
+    being shuffled, and of the others copies are reduced to one first, so that a text which a third
+    of all rows share is one row of each task.
     """
     spark = contents.sparkSession
     version = tokenizer_digest(tokenizer_path)
     # an empty append makes the folder, so that a new cache reads as an empty one
     spark.createDataFrame([], CACHE).write.mode("append").partitionBy("tokenizer").parquet(cache_path)
     known = cached(spark, cache_path, version).select("content")
-    missing = contents.select("content").distinct().join(known, "content", "left_anti")
-    n = missing.limit(SENT_DIGESTS + 1).count()
-    if n == 0:
-        return
-    if n <= SENT_DIGESTS:
-        wanted = contents.join(F.broadcast(missing), "content", "left_semi").groupBy("content").agg(F.first("text").alias("text"))
-    else:
-        wanted = contents.groupBy("content").agg(F.first("text").alias("text")).join(known, "content", "left_anti")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = per_worker(("token counter", tokenizer_path, version), lambda: Counter(tokenizer_path))
@@ -93,8 +108,16 @@ def fill_cache(contents: DataFrame, tokenizer_path: str, cache_path: str) -> Non
                 counts = counter.count(batch.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(counts, pa.int64())], ["content", "n_tokens"])
 
-    counted = wanted.select("content", "text").mapInArrow(run, "content binary, n_tokens bigint")
-    counted.withColumn("tokenizer", F.lit(version)).write.mode("append").partitionBy("tokenizer").parquet(cache_path)
+    with scratch(spark) as keep:
+        digests = contents if digests is None else digests
+        missing = keep(digests.select("content").distinct().join(known, "content", "left_anti"))
+        if missing.isEmpty():
+            return
+        wanted = among(contents.select("content", "text"), missing).groupBy("content").agg(F.first("text").alias("text"))
+        # what the filter let through by chance
+        wanted = wanted.join(known, "content", "left_anti")
+        counted = wanted.select("content", "text").mapInArrow(run, "content binary, n_tokens bigint")
+        counted.withColumn("tokenizer", F.lit(version)).write.mode("append").partitionBy("tokenizer").parquet(cache_path)
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, normalise=lambda text: text, limit: int = 4096) -> DataFrame:
@@ -102,14 +125,20 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, normalis
 
     ``normalise`` is a column function on the text before it is digested and
     counted; by default the text stays as it is, so that counts are exactly
-    the library's. Repeated rows stay; an empty table appends nothing.
+    the library's. Repeated rows stay; an empty table appends nothing. Counts
+    are joined on (digest, slice of the ids), so that rows of one content are
+    dealt out over as many tasks as a shuffle has.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("raw"))
     rows = rows.withColumn("text", normalise(F.col("raw"))).withColumn("content", content_digest(F.col("text")))
-    fill_cache(rows.select("content", "text"), tokenizer_path, cache_path)
-    counts = cached(docs.sparkSession, cache_path, tokenizer_digest(tokenizer_path))
-    narrow = rows.select("doc_id", F.octet_length("raw").cast("bigint").alias("n_bytes"), "content")
-    return narrow.join(counts, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    slice_ = F.pmod(F.xxhash64("doc_id"), F.lit(shuffle_partitions(spark))).cast("int").alias("slice")
+    # digested once for all that needs only digests
+    narrow = kept(rows.select("doc_id", F.octet_length("raw").cast("bigint").alias("n_bytes"), "content", slice_))
+    fill_cache(rows.select("content", "text"), tokenizer_path, cache_path, narrow)
+    counts = cached(spark, cache_path, tokenizer_digest(tokenizer_path))
+    sliced = narrow.select("content", "slice").distinct().join(counts, "content")
+    return narrow.join(sliced, ["content", "slice"]).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
 travels(__name__)

@@ -59,10 +59,33 @@ def test_counts_come_from_the_cache(spark, make_docs, tmp_path):
     assert rows(out, "doc_id", "n_tokens") == [(1, 77), (2, exact(MODEL)("new"))]
 
 
-def test_many_misses_take_the_other_way(make_docs, tmp_path, monkeypatch):
-    monkeypatch.setattr(t, "SENT_DIGESTS", 1)
-    out = t.token_counts(make_docs((1, "a b"), (2, "c"), (3, "a b")), MODEL, str(tmp_path / "cache"))
-    assert rows(out, "doc_id", "n_tokens") == [(1, exact(MODEL)("a b")), (2, 1), (3, exact(MODEL)("a b"))]
+@pytest.mark.parametrize("bits", [1, 25])
+def test_known_texts_that_pass_the_filter_are_not_counted_again(spark, make_docs, tmp_path, monkeypatch, bits):
+    monkeypatch.setattr(t, "FILTER_BITS", bits)  # with one bit nearly all do
+    cache = str(tmp_path / "cache")
+    t.token_counts(make_docs(*[(k, f"text {k}") for k in range(20)]), MODEL, cache).collect()
+    out = t.token_counts(make_docs((1, "a b"), (2, "c"), (3, "a b"), *[(k, f"text {k}") for k in range(5, 30)]), MODEL, cache)
+    assert rows(out.filter("doc_id < 4"), "doc_id", "n_tokens") == [(1, exact(MODEL)("a b")), (2, 1), (3, exact(MODEL)("a b"))]
+    assert out.count() == 28 and stored(spark, cache).count() == stored(spark, cache).distinct().count() == 32
+
+
+def test_filter_keeps_all_that_is_wanted_and_little_else(spark):
+    every = spark.range(5000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("content"), "id")
+    wanted = every.filter("id % 50 = 0").select("content")
+    found = {r.id for r in t.among(every, wanted).collect()}
+    assert set(range(0, 5000, 50)) <= found and len(found) < 110
+    assert t.among(every, wanted.limit(0)).count() == 0
+
+
+def test_a_hot_content_is_spread(make_docs, tmp_path, monkeypatch):
+    """A third of all rows have one text; no task joins more than its share of them."""
+    monkeypatch.setattr(t, "shuffle_partitions", lambda spark: 16)
+    docs = make_docs(*[(k, "the same text" if k % 3 == 0 else f"text {k % 40}") for k in range(1200)])
+    out = t.token_counts(docs, MODEL, str(tmp_path / "cache"))
+    assert rows(out.groupBy("n_tokens").count())
+    plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert "[content#" in plan and "slice#" in plan
+    assert out.count() == 1200
 
 
 def test_normalised_content(spark, make_docs, tmp_path):
