@@ -11,7 +11,7 @@ by maximum flow, is the cheapest labelling.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -72,10 +72,22 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+@dataclass(eq=False)
+class Place:
+    """An element's place in the tree, linked to its parent's, so that a block costs no more the deeper it stands."""
+
+    number: int
+    parent: Place | None
+    depth: int
+
+    def below(self, number: int) -> Place:
+        return Place(number, self, self.depth + 1)
+
+
 @dataclass
 class Element:
     tag: str
-    number: int
+    place: Place
     opinion: int  # of the nearest element that has one: 1 for content, -1 against
     in_article: bool
     unseen: bool
@@ -87,7 +99,7 @@ class Element:
 class Block:
     text: str
     linked: int
-    path: tuple[int, ...]
+    place: Place
     opinion: int
     heading: bool
     line: int  # the blocks of one line are the elements within it that speak against their text, and its rest
@@ -158,7 +170,8 @@ def blocks(html: str, trusting: bool = False) -> list[Block]:
     """
     out: list[Block] = []
     numbers = lines = 0
-    stack = [Element("", 0, 0, False, False)]
+    stack = [Element("", Place(0, None, 0), 0, False, False)]
+    open_tags: Counter[str] = Counter()
     parts: list[tuple[str, int, Element]] = []  # text, how much of it is linked, and where it stands
     links = 0
     heading = False
@@ -168,11 +181,10 @@ def blocks(html: str, trusting: bool = False) -> list[Block]:
         if not parts:
             return
         lines += 1
-        own: dict[int, Block] = {0: Block("", 0, tuple(e.number for e in stack), stack[-1].opinion, heading, lines, [])}
+        own: dict[int, Block] = {0: Block("", 0, stack[-1].place, stack[-1].opinion, heading, lines, [])}
         for place, (text, linked, element) in enumerate(parts):
             if element.within not in own:
-                path = (*own[0].path, element.within)
-                own[element.within] = Block("", 0, path, -1, heading, lines, [], ASIDE, element.advert)
+                own[element.within] = Block("", 0, own[0].place.below(element.within), -1, heading, lines, [], ASIDE, element.advert)
             block = own[element.within]
             block.pieces.append((place, text))
             block.linked += linked
@@ -224,17 +236,16 @@ def blocks(html: str, trusting: bool = False) -> list[Block]:
         if tag in VOID:
             continue
         if ends:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
+            while open_tags[tag]:
+                last = stack.pop().tag
+                open_tags[last] -= 1
+                if last == tag:
                     break
             continue
-        if stack[-1].tag == "p" and tag in BLOCK:
-            stack.pop()
-        elif tag in SIBLINGS and stack[-1].tag in SIBLINGS[tag]:
-            stack.pop()
-        elif stack[-1].tag == "head" and tag not in UNSEEN:  # a head that was never closed
-            stack.pop()
+        innermost = stack[-1].tag
+        # the last is a head that was never closed
+        if (innermost == "p" and tag in BLOCK) or (tag in SIBLINGS and innermost in SIBLINGS[tag]) or (innermost == "head" and tag not in UNSEEN):
+            open_tags[stack.pop().tag] -= 1
         parent = stack[-1]
         said, hidden = opinion(tag, m[3], parent, trusting)
         numbers += 1
@@ -245,7 +256,8 @@ def blocks(html: str, trusting: bool = False) -> list[Block]:
         else:
             within = parent.within or numbers
             advert = parent.advert or parent.opinion < 0 or any(not ADVERTS.isdisjoint(words) for words in named(m[3])[0])
-        stack.append(Element(tag, numbers, said, inside, unseen, within, advert))
+        open_tags[tag] += 1
+        stack.append(Element(tag, parent.place.below(numbers), said, inside, unseen, within, advert))
     close()
     return out
 
@@ -276,25 +288,32 @@ def costs(block: Block) -> int:
     return odds
 
 
-def tree_distance(a: tuple[int, ...], b: tuple[int, ...]) -> int:
-    shared = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        shared += 1
-    return len(a) + len(b) - 2 * shared
+def tree_distance(a: Place, b: Place, most: int = BESIDE + 1) -> int:
+    """Steps from one element to the other through the tree; ``most`` where it is as far or farther."""
+    steps = 0
+    while a is not b and steps < most:
+        if a.depth >= b.depth:
+            a, steps = a.parent, steps + 1
+        else:
+            b, steps = b.parent, steps + 1
+    return steps
+
+
+def alike(a: Block, b: Block) -> float:
+    """1 for blocks of the same linked share, 0 for one that is all links beside one without: a list of links says nothing about the text beside it."""
+    return 1 - abs(a.linked / len(a.text) - b.linked / len(b.text))
 
 
 def edges(row: list[Block]) -> list[tuple[int, int, int]]:
-    """(i, j, capacity) between neighbours in the page and between neighbours among the blocks of one parent."""
-    out = [(k, k + 1, BESIDE // max(1, tree_distance(a.path, b.path))) for k, (a, b) in enumerate(zip(row, row[1:]))]
+    """(i, j, capacity) between neighbours in the page and between neighbours among the blocks of one parent, less where their links differ."""
+    out = [(k, k + 1, int(alike(a, b) * BESIDE) // max(1, tree_distance(a.place, b.place))) for k, (a, b) in enumerate(zip(row, row[1:]))]
     last: dict[int, int] = {}
     for k, b in enumerate(row):
-        parent = b.path[-2] if len(b.path) > 1 else b.path[-1]
+        parent = (b.place.parent or b.place).number
         if last.get(parent, k) < k - 1:
-            out.append((last[parent], k, SAME_PARENT))
+            out.append((last[parent], k, int(alike(row[last[parent]], b) * SAME_PARENT)))
         last[parent] = k
-    return out
+    return [e for e in out if e[2]]
 
 
 def minimum_cut(odds: list[int], joined: list[tuple[int, int, int]]) -> list[bool]:
@@ -381,7 +400,13 @@ def main_text(html: str) -> str:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars of every row; null html counts as empty and gives empty text. Repeated rows stay."""
+    """page_id, url, text, n_chars of every row.
+
+    Null html counts as empty and gives empty text, as does a page without
+    content; repeated rows stay, an empty table stays empty. Pages of any
+    length and depth are read whole, in memory that grows with their length,
+    not with the depth of what is never closed.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -133,3 +133,29 @@ def test_rows(spark):
         [(1, "u", "", 0), (2, None, "", 0), (3, "u", one, 30), (3, "u", one, 30), (None, "u", long, len(long))], key=repr
     )
     assert h.extract(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_deep_pages_take_linear_time():
+    """Megabytes of elements that are never closed, and of end tags that close nothing."""
+    import time
+
+    started = time.process_time()
+    n = 2_000_000 // 18
+    text = h.main_text("<article>" + "<div>word one two. " * n)
+    assert text == "\n".join(["word one two."] * n)
+    assert h.main_text("<article>" + "<div>a few words here. </p></section>" * 20_000).count("\n") == 19_999
+    assert time.process_time() - started < 60
+
+
+def test_sentences_between_lists_of_links_stay():
+    page = "".join(f"<p>This is sentence number {k} of the page.</p><p><a href='#'>link {k}</a></p>" for k in range(2000))
+    text = h.main_text(f"<html><body>{page}</body></html>").split("\n")
+    assert text == [f"This is sentence number {k} of the page." for k in range(2000)]
+
+
+def test_tree_distance():
+    root = h.Place(0, None, 0)
+    a, b = root.below(1).below(2), root.below(1).below(3).below(4)
+    c = a.below(5)
+    assert h.tree_distance(a, a) == 0 and h.tree_distance(a, c) == 1 and h.tree_distance(c, root) == 3
+    assert h.tree_distance(a, b) == 5 and h.tree_distance(a, b, 2) == 2
