@@ -87,3 +87,32 @@ def test_native(documents):
 
 def test_empty_table(make_docs):
     assert licenses.scan(make_docs()).collect() == []
+
+
+def test_own_templates(make_docs):
+    docs = make_docs((1, "All rights reserved, by ACME. Ask first!"), (2, "mit license"), (3, "ask before you copy or sell any of this text"))
+    own = {"ACME: all rights": "x", "Rights reserved by Acme": "acme", "word": "short"}
+    out = licenses.scan(docs, own, {"Ask before you copy, print or sell any of this text": "ask", "too few": "y"})
+    assert rows(out, "doc_id", "base_labels", "labels") == [(1, "acme", "acme"), (2, "", ""), (3, "", "")]
+    out = licenses.scan(docs, {}, {"ask before you copy or sell any of this": "ask"})
+    assert rows(out, "doc_id", "n_base", "labels") == [(1, 0, ""), (2, 0, ""), (3, 0, "ask")]
+    assert sorted(r.n_words for r in licenses.scan(docs, {}, {}).filter("labels = ''").collect()) == [2, 7, 10]
+
+
+def test_more_templates_than_are_broadcast(make_docs, texts, monkeypatch):
+    docs = make_docs(*enumerate(texts[:40]))
+    sent = rows(licenses.scan(docs))
+    monkeypatch.setattr(licenses, "SENT_GRAMS", 1)
+    assert rows(licenses.scan(docs)) == sent
+
+
+def test_whole_license_texts(make_docs):
+    full = [t for t in licenses.NOTICES if len(t.split()) > 50]
+    assert len(full) == 4
+    out = licenses.scan(make_docs(*enumerate(full))).collect()
+    assert {r.doc_id: licenses.NOTICES[full[r.doc_id]] in r.labels.split(",") for r in out} == dict.fromkeys(range(4), True)
+
+
+def test_texts_are_taken_apart_once(documents):
+    plan = licenses.scan(documents)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("regexp_extract_all") == 1 and "regexp_count" not in plan
