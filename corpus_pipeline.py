@@ -3,17 +3,21 @@
 Each stage takes (spark, docs, sf_dir) and works on whatever its predecessor
 kept. All but the last return the columns of ``documents``; what a stage
 rejects is gone for the next. ``run`` writes each stage's result to the shared
-folder and reads it again, so a lost executor costs one stage at most.
+folder and reads it again, so a lost executor costs one stage at most. The
+stages set the session's Arrow batches to ``small_batches`` rows, for what
+they return runs later.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from qlens.llm import decontaminate, language, packing, quality, simhash
 from qlens.llm.common import small_batches
-from qlens.storage import kept, scratch
+from qlens.storage import checkpoint_dir, join_path, scratch, tidied
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,13 +63,21 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what lies between them is deleted at the end."""
+    """All stages over ``documents``.
+
+    What lies between them is deleted at the end, and what a stage itself
+    writes down as soon as its result is written; one folder stays, that of the result.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    result = join_path(checkpoint_dir(spark), f"corpus-{uuid.uuid4().hex}")
     *stages, (_, last) = STAGES
     with scratch(spark) as keep:
         for _, stage in stages:
-            docs = keep(stage(spark, docs, sf_dir))
-        return kept(last(spark, docs, sf_dir))
+            with tidied(spark):
+                docs = keep(stage(spark, docs, sf_dir))
+        with tidied(spark):
+            last(spark, docs, sf_dir).write.parquet(result)
+    return spark.read.parquet(result)
 
 
 QUERIES = {"pipeline": run}

@@ -38,10 +38,31 @@ def kept(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = join_path(checkpoint_dir(spark), f"kept-{uuid.uuid4().hex}")
+    for folders in _tidied:
+        folders.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_tidied: list[list[str]] = []
+
+
+@contextmanager
+def tidied(spark: SparkSession) -> Iterator[None]:
+    """Deletes at the end of a ``with`` block whatever ``kept`` wrote in it, by whichever function.
+
+    For a caller that has written down the results it wants in a folder of its own.
+    """
+    folders: list[str] = []
+    _tidied.append(folders)
+    try:
+        yield
+    finally:
+        _tidied.remove(folders)
+        for folder in folders:
+            delete(spark, folder)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """``kept`` for the length of a ``with`` block: its folders go when the block ends.
