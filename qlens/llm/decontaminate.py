@@ -16,10 +16,12 @@ from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qlens.llm.common import per_worker, text_or_empty, travels, whole_row
+from qlens.storage import kept
 
 ERROR_RATE = 0.1
 # Items are sent to the executors in blocks of about so many characters.
@@ -142,33 +144,51 @@ def merged(begins: set[int], k: int, length: int, size: int) -> Iterator[tuple[i
 # --- on Spark ----------------------------------------------------------------
 
 
-def blocks(benchmark: DataFrame, block_characters: int = BLOCK_CHARACTERS) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark's distinct items as (item_id, text), in blocks of about ``block_characters``; never all at once."""
+def blocks(benchmark: DataFrame, block_characters: int = BLOCK_CHARACTERS) -> Iterator[tuple[list[tuple[int, str]], int]]:
+    """The benchmark's distinct items as (item_id, text), in blocks of about ``block_characters``, each with the number of blocks."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text")).filter("text IS NOT NULL").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-total // block_characters))
     for k in range(n):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items
-        yield [(r.item_id, r.text) for r in own.orderBy("item_id", "text").collect()]
+        yield [(r.item_id, r.text) for r in own.orderBy("item_id", "text").collect()], n
 
 
-def matcher(spark, items: list[tuple[int, str]], rate: float) -> Callable[[], Matcher]:
+def matcher(shared: Broadcast, rate: float) -> Callable[[], Matcher]:
     """For tasks: the matcher of a block, made once by each Python worker from the broadcast items."""
-    shared, key = spark.sparkContext.broadcast(items), uuid.uuid4().hex
+    key = uuid.uuid4().hex
     return lambda: per_worker(key, lambda: Matcher(shared.value, rate))
 
 
+def one_by_one(spark: SparkSession, benchmark: DataFrame, rate: float, block_characters: int, work: Callable) -> list[DataFrame]:
+    """``work(matcher, results so far)`` for each block.
+
+    A single block's result is lazy. Of several, each is written to the shared
+    folder and its broadcast withdrawn before the next goes out, so that
+    executors never hold more than one.
+    """
+    found: list[DataFrame] = []
+    for items, n in blocks(benchmark, block_characters):
+        shared = spark.sparkContext.broadcast(items)
+        result = work(matcher(shared, rate), found)
+        found.append(result if n == 1 else kept(result))
+        if n > 1:
+            shared.destroy()
+    return found
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, block_characters: int = BLOCK_CHARACTERS) -> DataFrame:
     """doc_id, item_id, edits, end: every document and item that occurs in it, its fewest edits and where that ends.
 
     An item occurs if a part of the normalised text is at most
     floor(rate x item length) edits away; ``end`` counts characters of the
-    normalised text. Null texts hold nothing and null or blank items occur
-    nowhere; repeated rows give repeated results, repeated items one.
+    normalised text. Items of under ten characters have no budget: they are found as they are, inside
+    words too. Null texts hold nothing and null or blank items occur
+    nowhere; repeated rows give repeated results, repeated items one; an empty table of either kind gives none.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
 
-    def found_in(block: Callable[[], Matcher]) -> DataFrame:
+    def found_in(block: Callable[[], Matcher], _: list[DataFrame]) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             match = block()
             for batch in batches:
@@ -186,8 +206,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, blo
 
         return texts.mapInArrow(run, "doc_id bigint, item_id bigint, edits int, end bigint")
 
-    found = (found_in(matcher(docs.sparkSession, items, rate)) for items in blocks(benchmark, block_characters))
-    return reduce(DataFrame.unionByName, found)
+    return reduce(DataFrame.unionByName, one_by_one(docs.sparkSession, benchmark, rate, block_characters, found_in))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, block_characters: int = BLOCK_CHARACTERS) -> DataFrame:
@@ -197,7 +216,9 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
     together; without items everything stays.
     """
 
-    def without(rows: DataFrame, block: Callable[[], Matcher]) -> DataFrame:
+    def without(block: Callable[[], Matcher], before: list[DataFrame]) -> DataFrame:
+        rows = before[-1] if before else docs
+
         @F.pandas_udf("boolean")
         def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             match = block()
@@ -206,7 +227,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
 
         return rows.select(whole_row(rows), clean(text_or_empty()).alias("ok")).filter("ok").select("row.*")
 
-    return reduce(without, (matcher(docs.sparkSession, items, rate) for items in blocks(benchmark, block_characters)), docs)
+    return one_by_one(docs.sparkSession, benchmark, rate, block_characters, without)[-1]
 
 
 travels(__name__)

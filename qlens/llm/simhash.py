@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from qlens.llm.common import lowest, text_or_empty, travels, whole_row
-from qlens.storage import kept
+from qlens.storage import kept, scratch
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -243,21 +243,22 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Large-star hangs each node's larger neighbours on its smallest one,
     small-star the smaller ones; both aggregate before they shuffle, and a
     hub's edges are a skewed join that adaptive execution splits. A round is
-    written to the shared folder. Stops when a round changes nothing.
+    written to the shared folder; only the last one's result stays. Stops when a round changes nothing.
     """
-    now = kept(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
-    state = None
-    for _ in range(max_rounds):
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        now = kept(small.select("e.a", "e.b").filter("a <> b").distinct())
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == state:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        state = seen
+    with scratch(edges.sparkSession) as keep:
+        now = keep(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
+        state = None
+        for _ in range(max_rounds):
+            both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            smallest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+            large = both.filter("b > a").join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+            least = large.groupBy("a").agg(F.min("b").alias("m"))
+            small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+            now = keep(small.select("e.a", "e.b").filter("a <> b").distinct())
+            seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+            if seen == state:
+                return kept(now.select(F.col("a").alias("node"), F.col("b").alias("root")))
+            state = seen
     raise RuntimeError("components did not settle")
 
 

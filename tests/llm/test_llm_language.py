@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 from llm_helpers import rows
@@ -86,3 +87,34 @@ def test_nothing_to_learn_from(make_docs):
     assert {tuple(r)[2:] for r in language.identify(make_docs((1, "text", None))).collect()} == {("und", 0.0, 0.0, True)}
     assert language.identify(make_docs()).collect() == []
     assert language.keep_identified(make_docs()).collect() == []
+
+
+def test_predictions_against_one_call_for_each_block_and_dictionary(spark):
+    """From texts and labels of a whole table to predictions, with a compressor made anew for every call."""
+    import zstandard
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    learned = language.fit(docs, language.id_remainder(3) != 1)
+    rows_ = sorted(docs.collect(), key=lambda r: r.doc_id)[:60]
+
+    def size(block, data):
+        known = zstandard.ZstdCompressionDict(data.ljust(16), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        coder = zstandard.ZstdCompressor(level=language.LEVEL, dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False)
+        return len(coder.compress(block))
+
+    expected = {}
+    for r in rows_:
+        text = r.text or ""
+        if not any(c.isalpha() for c in text):
+            expected[r.doc_id] = ("und", 0.0)
+            continue
+        data = " ".join(re.split(r"[\W\d_]+", text.lower())).encode()
+        sizes = {}
+        for lang, known in learned:
+            sizes[lang] = sum(size(data[k : k + language.BLOCK], known) for k in range(0, len(data), language.BLOCK))
+        best = min(sizes.values())
+        expected[r.doc_id] = (next(lang for lang, s in sizes.items() if s == best), 1 / sum(2.0 ** (8 * max(best - s, -100)) for s in sizes.values()))
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs).collect() if r.doc_id in expected}
+    assert found.keys() == expected.keys()
+    same = [k for k in expected if found[k][0] == expected[k][0] and abs(found[k][1] - expected[k][1]) < 0.01]
+    assert len(same) == len(expected)

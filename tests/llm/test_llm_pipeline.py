@@ -23,6 +23,9 @@ CONTRACTS = {
     "op8_sharding": "doc_id bigint, slot int, shard string",
     "op9_document_fingerprints": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
     "op10_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
+    "op11_hard_negatives": "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, negative_score bigint",
+    "op12_entropy_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op13_embedding_whitening": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double",
 }
 
 
@@ -40,14 +43,17 @@ def test_contract_columns(spark, name):
     assert out.dtypes[: len(wanted)] == wanted
     if name == "op5_html_extraction":
         assert out.count() == 50
-    elif name not in ("op1_best_fit_packing", "op6_benchmark_decontamination"):
+    elif name == "op13_embedding_whitening":
+        assert out.count() == 8 * 500
+    elif name not in ("op1_best_fit_packing", "op6_benchmark_decontamination", "op11_hard_negatives"):
         assert out.count() == 200
 
 
 @pytest.mark.parametrize("name", sorted(workload.ORACLE))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     expected = con.execute(workload.ORACLE[name]).fetchall()
     assert rows(workload.QUERIES[name](spark, SF)) == sorted(expected, key=repr)
 
@@ -150,3 +156,19 @@ def test_workers_keep_the_last_two_objects(monkeypatch):
     for key in "aabaccab":
         assert get(key) == key
     assert made == ["a", "b", "c", "b"]
+
+
+def test_empty_labels_and_benchmark_and_nothing_left_behind(spark, tmp_path):
+    import os
+
+    from qlens.storage import checkpoint_dir
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    before = set(os.listdir(checkpoint_dir(spark)))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.select("doc_id").distinct().count() > 10
+    left = set(os.listdir(checkpoint_dir(spark))) - before
+    assert len(left) == 1 and next(iter(left)).startswith("corpus-")
