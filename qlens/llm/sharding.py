@@ -72,9 +72,13 @@ def place(docs: DataFrame, key: str = "doc_id", shards: tuple[str, ...] = SHARDS
 
 
 def write_shards(docs: DataFrame, path: str, key: str = "doc_id", shards: tuple[str, ...] = SHARDS, slots: int = SLOTS) -> None:
-    """Writes ``docs`` as Parquet, a folder ``_shard=<name>`` for each shard."""
-    placed = place(docs, key, shards, slots)
-    placed.select("row.*", F.col("shard").alias("_shard")).write.partitionBy("_shard").parquet(path)
+    """Writes ``docs`` as Parquet, a folder ``_shard=<name>`` for each shard.
+
+    Rows are rebalanced by shard first, so that not every task writes a file to
+    every folder; a shard too large for one task is split over several.
+    """
+    placed = place(docs, key, shards, slots).select("row.*", F.col("shard").alias("_shard"))
+    placed.hint("rebalance", "_shard").write.partitionBy("_shard").parquet(path)
 
 
 def assignments(docs: DataFrame) -> DataFrame:
