@@ -42,7 +42,8 @@ def _hits(haystack: Column, words: Mapping[str, str]) -> Column:
     ``rank`` orders by length, longest first, then by mapping order. The words
     are one constant array searched by a lambda: a chain of ``when`` branches
     this long would outgrow what the JVM compiles. Wrapping the text in an
-    array binds it once for all words.
+    array binds it once for all words. A text without a character in the
+    range of the words' first ones, found out in one pass, is not searched for the words.
     """
     longest_first = {w: i for i, w in enumerate(sorted(words, key=len, reverse=True))}
     table = F.array(
@@ -52,8 +53,12 @@ def _hits(haystack: Column, words: Mapping[str, str]) -> Column:
         ]
     )
 
+    firsts = [ord(w[0]) for w in words if w] or [0]
+    between = f"[\\x{{{min(firsts):x}}}-\\x{{{max(firsts):x}}}]"
+
     def search(text: Column) -> Column:
-        return F.filter(table, lambda entry: text.contains(entry["word"]))
+        found = F.filter(table, lambda entry: text.contains(entry["word"]))
+        return found if "" in words or not words else F.when(text.rlike(between), found).otherwise(F.slice(table, 1, 0))
 
     return F.get(F.transform(F.array(haystack), search), F.lit(0))
 

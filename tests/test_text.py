@@ -231,3 +231,12 @@ def test_keyword_length_is_a_setting(spark, categories):
     assert [len(r.keyword) for r in long.collect()] == [60]
     assert [r.reject_reason for r in split_rejects(long, short)[1].collect()] == ["keyword too long"]
     assert split_rejects(long)[0].count() == 1 and reject_counts(long, short).first().outcome == "keyword too long"
+
+
+def test_words_are_found_whatever_else_the_text_holds(spark):
+    rules = {"갉": "low", "힢x": "high", "Zed": "latin", "é": "accent"}
+    texts = ["plain latin text", "갉", "a힢x", "힢 x", "zed", "ZedZed", "café", "中文 only", "", None, "\U0001f600 힢x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.w for r in df.select(text.rule_word("t", rules).alias("w")).collect()]
+    want = [None if t is None else max((w for w in rules if w in t), key=len, default=None) for t in texts]
+    assert got == want
