@@ -47,15 +47,15 @@ def lowest(h: Column, wanted: int, of: int) -> Column:
 def per_worker(key: Hashable, make: Callable[[], T]) -> T:
     """An object kept by the Python worker from task to task; only for what doesn't alter results.
 
-    The two used last stay, so that a worker that serves many stages doesn't
+    The one used last stays, so that a worker that serves many stages doesn't
     gather what all of them have made.
     """
     held = sys.__dict__.setdefault("_qlens_held", {})
-    found = held.pop(key) if key in held else make()
-    held[key] = found
-    while len(held) > 2:
-        del held[next(iter(held))]
-    return found
+    if key not in held:
+        held.clear()
+        give_back()
+        held[key] = make()
+    return held[key]
 
 
 def give_back() -> None:

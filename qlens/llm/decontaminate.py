@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qlens.llm.common import per_worker, text_or_empty, travels, whole_row
+from qlens.llm.common import give_back, per_worker, text_or_empty, travels, whole_row
 from qlens.storage import kept
 
 ERROR_RATE = 0.1
@@ -224,6 +224,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
             match = block()
             for texts in batches:
                 yield texts.map(lambda t: not match(t)).astype(bool)
+                give_back()
 
         return rows.select(whole_row(rows), clean(text_or_empty()).alias("ok")).filter("ok").select("row.*")
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qlens.llm.common import id_remainder, per_worker, travels, whole_row
+from qlens.llm.common import give_back, id_remainder, per_worker, travels, whole_row
 
 # What is fitted is bounded: distinct texts, in hash order, until a dictionary is full.
 DICTIONARY_BYTES = 256 << 10
@@ -125,6 +125,7 @@ def predictor(spark, dictionaries: list[tuple[str, bytes]]):
         sizes = per_worker(key, lambda: Sizes(shared.value))
         for texts in batches:
             yield pd.DataFrame([sizes(t) for t in texts], columns=["lang", "score", "margin"], index=texts.index)
+            give_back()
 
     return predict
 

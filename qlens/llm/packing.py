@@ -26,7 +26,7 @@ CAPACITY = 4096
 CACHED_WORDS = 300_000
 CACHED_IDS = 1 << 21
 LONG_WORD = 64
-SLICE = 4 << 20
+SLICE = 3_500_000
 # Letters that lower-casing and composition keep letters, and punctuation that stays one token group behind
 # them (so no apostrophe).
 LETTERS = "".join(map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))

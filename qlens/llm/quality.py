@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qlens.llm.common import id_remainder, lowest, per_worker, text_or_empty, travels, whole_row
+from qlens.llm.common import give_back, id_remainder, lowest, per_worker, text_or_empty, travels, whole_row
 from qlens.storage import scratch
 
 # At most so many labelled documents are fitted on, the first in hash order, and of those as many as have this many
@@ -230,6 +230,7 @@ def scorer(spark, model: dict):
                 odds, _, _ = margins(shared.value, np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), starts)
                 out[k : k + 256] = 1 / (1 + np.exp(-odds.astype(np.float64)))
             yield pd.Series(out, index=texts.index)
+            give_back()
 
     return score
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
-from qlens.llm.common import lowest, text_or_empty, travels, whole_row
+from qlens.llm.common import give_back, lowest, text_or_empty, travels, whole_row
 from qlens.storage import kept, scratch
 
 SHINGLE = 3
@@ -74,6 +74,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, beside: tuple[Column,
         for batch in batches:
             bits = np.array([simhash(t, shingle) for t in batch.column("text").to_pylist()], dtype="<u8")
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(bits.view("<i8"))], names)
+            give_back()
 
     return rows.mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
